@@ -9,8 +9,8 @@ are the connected components of the verified pairs.
 
 Candidates are not capped. Texts with equal word sequences are one node. In each bucket all
 members are first compared with the one of least id; then members that are still in different
-components are compared pair by pair, so that each pair which shares a bucket is either compared
-or already in one group.
+components are compared pair by pair, on sketches brought to the bucket, so that each pair which
+shares a bucket is either compared or already in one group.
 
 Nulls, ties, extremes: texts that are null or hold no words are no one's copies. Rows with a null
 doc_id are left out of the result and stay in the stage. Rows that share a doc_id are one document: their shingles
@@ -21,6 +21,8 @@ Other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,11 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 from .spans import Packed, U, mix, shingles, slices
 from .store import Scratch
 
-SHINGLE, BANDS, ROWS = 3, 36, 3
+SHINGLE, BANDS, ROWS = 3, 72, 5
 M = BANDS * ROWS
 THRESHOLD = 0.5
 #: Candidates estimated under THRESHOLD - SLACK are not verified: about 4 standard errors of the estimate.
-SLACK = 0.2
+SLACK = 0.1
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
 _MUL = (np.random.default_rng(7).integers(0, 1 << 31, M, dtype=np.int64) * 2 + 1).astype(np.uint32)
 _XOR = np.random.default_rng(8).integers(0, 1 << 32, M, dtype=np.int64).astype(np.uint32)
@@ -134,6 +136,40 @@ def _estimates(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(j)], ["a", "b", "j"])
 
 
+def _cross(threshold: float):
+    """Rows (bucket, d, g, reg, size) ordered by bucket: pairs of different g whose estimate is near the threshold or above."""
+
+    def pairs(d, g, reg, size):
+        for i in range(len(d) - 1):
+            other = i + 1 + np.flatnonzero(g[i + 1 :] != g[i])
+            for at in range(0, len(other), 4096):
+                o = other[at : at + 4096]
+                a = np.broadcast_to(reg[i], (len(o), M))
+                j = estimate(a, reg[o], np.full(len(o), size[i]), size[o])
+                o = o[j >= threshold - SLACK]
+                if len(o):
+                    yield np.minimum(d[i], d[o]), np.maximum(d[i], d[o])
+
+    def run(batches):
+        rest = None
+        for b in itertools.chain(batches, [None]):
+            t = pa.Table.from_batches([x for x in (rest, b) if x is not None]).combine_chunks() if rest is not None or b is not None else None
+            if t is None or not t.num_rows:
+                continue
+            bucket = t.column("bucket").to_numpy()
+            cut = np.flatnonzero(np.diff(bucket, prepend=~bucket[0]))
+            last = t.num_rows if b is None else cut[-1]
+            d, g, size = t.column("d").to_numpy(), t.column("g").to_numpy(), t.column("size").to_numpy().astype(float)
+            reg = np.frombuffer(b"".join(t.column("reg").to_pylist()), np.uint16).reshape(-1, M)
+            found = [p for x, y in zip(cut, np.append(cut[1:], t.num_rows)) if y <= last for p in pairs(d[x:y], g[x:y], reg[x:y], size[x:y])]
+            rest = t.slice(last).combine_chunks().to_batches()[0] if last < t.num_rows else None
+            if found:
+                key = np.unique(np.stack([np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(key[:, 0]), pa.array(key[:, 1])], ["a", "b"])
+
+    return run
+
+
 def _sets(texts: list) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     for x, y in slices(texts):
@@ -166,15 +202,21 @@ class _Run:
         self.docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("d"), "text")
         self.spark, self.scratch, self.threshold = docs.sparkSession, Scratch(docs.sparkSession), threshold
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Of pairs (a, b) of node ids, those at the threshold or above."""
+    def estimated(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b) of node ids, those whose sketches come near the threshold."""
         of = lambda s: self.nodes.select(F.col("d").alias(s), F.col("reg").alias(f"reg{s}"), F.col("size").alias(f"n{s}"))
-        near = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "rega", "regb", "na", "nb").mapInArrow(_estimates, "a long, b long, j double").where(F.col("j") >= self.threshold - SLACK)
-        near = self.scratch.keep(near.select("a", "b"), f"near_{name}")
+        both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "rega", "regb", "na", "nb")
+        return both.mapInArrow(_estimates, "a long, b long, j double").where(F.col("j") >= self.threshold - SLACK).select("a", "b")
+
+    def verified(self, near: DataFrame, name: str) -> DataFrame:
+        """Of pairs (a, b), those whose whole shingle sets are at the threshold or above."""
+        near = self.scratch.keep(near, f"near_{name}")
         some = near.select(F.explode(F.array("a", "b")).alias("d")).distinct()
         texts = self.scratch.keep(self.docs.join(some, "d", "left_semi").groupBy("d").agg(F.array_join(F.sort_array(F.collect_list("text")), "\n").alias("text")), f"texts_{name}")
         full = near.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
-        return self.scratch.keep(full.mapInArrow(_verifier(self.threshold), "a long, b long"), f"pairs_{name}")
+        out = self.scratch.keep(full.mapInArrow(_verifier(self.threshold), "a long, b long"), f"pairs_{name}")
+        self.scratch.drop(f"texts_{name}")
+        return out
 
     def components(self, pairs: DataFrame, name: str) -> DataFrame:
         """(d, g) for every node that has a pair: g is the least id of its component. Alternates hooking to the least neighbour and halving of paths."""
@@ -212,13 +254,13 @@ class _Run:
         buckets = members.groupBy("bucket").agg(F.sort_array(F.collect_list("d")).alias("ds")).where(F.size("ds") > 1)
         buckets = keep(buckets.groupBy("ds").agg(F.min("bucket").alias("bucket")), "buckets")
         star = buckets.select(F.element_at("ds", 1).alias("a"), F.explode(F.slice("ds", 2, 1 << 30)).alias("b")).distinct()
-        pairs = self.verified(star, "star")
+        pairs = self.verified(self.estimated(star), "star")
         label = self.components(pairs, "star")
 
         left = buckets.select("bucket", F.explode("ds").alias("d")).join(label, "d", "left").select("bucket", "d", F.coalesce("g", "d").alias("g"))
         mixed = left.groupBy("bucket").agg(F.collect_list(F.struct("g", "d")).alias("m"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi")
-        mixed = keep(mixed.select("bucket", F.explode("m").alias("m")).select("bucket", "m.g", "m.d"), "mixed")
-        cross = mixed.toDF("bucket", "ga", "a").join(mixed.toDF("bucket", "gb", "b"), "bucket").where("ga != gb and a < b").select("a", "b").distinct()
+        mixed = mixed.select("bucket", F.explode("m").alias("m")).select("bucket", "m.g", "m.d").join(self.nodes, "d").select("bucket", "d", "g", "reg", "size")
+        cross = mixed.repartition(F.col("bucket")).sortWithinPartitions("bucket", "d").mapInArrow(_cross(self.threshold), "a long, b long").distinct()
         rest = self.verified(cross.join(star, ["a", "b"], "left_anti"), "cross")
         every = self.components(pairs.union(rest).union(copies.where("d != g").select(F.col("g").alias("a"), F.col("d").alias("b"))), "all")
         out = every.checkpoint()
