@@ -148,5 +148,10 @@ def safe_field(c: Column, most: int = 80) -> Column:
     return F.when(F.length(one) > most, F.concat(F.rtrim(F.substring(one, 1, most - 1)), F.lit("…"))).otherwise(one)
 
 
+def fenced(c: Column) -> Column:
+    """``c``, computed where it is defined: a filter on it stays above, as below it would repeat all that ``c`` is made from."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def rounded(c: Column, places: int = 1) -> Column:
     return F.round(c + F.lit(1e-9), places)

@@ -173,7 +173,7 @@ GATE = """
         WHEN priority <> 'NORMAL' THEN 'high' WHEN priority_score < 55 THEN 'score' ELSE 'passed' END AS rule FROM pri),
     gated AS (SELECT *, CASE WHEN rule IN ('editorial', 'blocked', 'no_category', 'geo') THEN 'rejected' WHEN rule = 'filler' THEN 'filler' WHEN rule = 'score' THEN 'held' ELSE 'queued' END AS status FROM gate)"""
 
-_TOKENS = r"list_distinct(list_filter(list_transform(regexp_extract_all(lower({c}), '[a-z0-9][a-z0-9''.\-]*'), x -> regexp_replace(x, '[''.\-]+$', '')), x -> length(x) >= 3 OR regexp_matches(x, '^[0-9]+$')))"
+_TOKENS = r"list_distinct(list_filter(list_transform(regexp_extract_all(lower({c}), '[a-z0-9][a-z0-9''.\-]*'), lambda x: regexp_replace(x, '[''.\-]+$', '')), lambda x: length(x) >= 3 OR regexp_matches(x, '^[0-9]+$')))"
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +197,7 @@ def _canonical_sql(c: str) -> str:
     names = "|".join(T.TRACKING)
     bare = f"regexp_replace(trim({c}), '#.*$', '')"
     head, path, query = f"lower(regexp_extract({bare}, '^[A-Za-z]+://[^/?]*'))", f"regexp_replace(regexp_extract({bare}, '^[A-Za-z]+://[^/?]*([^?]*)', 1), '/+$', '')", rf"regexp_extract({bare}, '\?(.*)$', 1)"
-    kept = f"list_filter(string_split({query}, '&'), q -> q <> '' AND NOT regexp_matches(lower(regexp_extract(q, '^[^=]*')), '^({names})$'))"
+    kept = f"list_filter(string_split({query}, '&'), lambda q: q <> '' AND NOT regexp_matches(lower(regexp_extract(q, '^[^=]*')), '^({names})$'))"
     return f"concat({head}, {path}, CASE WHEN len({kept}) > 0 THEN concat('?', array_to_string({kept}, '&')) ELSE '' END)"
 
 
