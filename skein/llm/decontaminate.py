@@ -36,6 +36,8 @@ MIN_COSINE, MIN_LCS, MIN_ANSWER = 0.3, 0.6, 0.5
 #: Items handled in one run over the documents; more are done in further runs.
 ITEMS = 20_000
 BLOCK = 512
+#: Cells of the search's dense tables; sets how many passages are compared at a time.
+CELLS = 1 << 23
 
 
 class Bench:
@@ -214,12 +216,24 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
+def _padded(lists: list[np.ndarray], fill: int) -> np.ndarray:
+    out = np.full((len(lists), max([1, *map(len, lists)])), fill, np.int64)
+    for k, x in enumerate(lists):
+        out[k, : len(x)] = x
+    return out
+
+
 def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
     wide, informative, q = bench.wide, ~bench.common, q.astype(np.float32)
     items = bench.matrix(idf) @ q
     size = np.linalg.norm(items, axis=1, keepdims=True)
     items = np.where(size > 1e-9, items / np.maximum(size, 1e-9), 0).astype(np.float32)
     seqs = [s.tolist() for s in bench.seqs]
+    v = len(idf)
+    # a word number of v is of no passage
+    words, answers = _padded(bench.seqs, v), _padded(bench.answer, v)
+    lengths, n_answers = np.array([len(s) for s in bench.seqs]), np.array([len(a) for a in bench.answer])
+    chunk = int(min(4096, max(16, CELLS // max(v, len(items)))))
 
     def run(batches):
         for b in _small(batches):
@@ -228,26 +242,35 @@ def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
             # each occurrence is of the passage that starts at or before it, and of the one before that
             t2 = np.concatenate([terms, terms[place >= STEP]])
             n2 = np.concatenate([number, number[place >= STEP] - 1])
-            row, t, n = _rows(t2, n2, informative)
+            every, term, times = _rows(t2, n2, np.ones(v, bool))
+            some = informative[term]
+            row, t, n = every[some], term[some], times[some]
             if len(row):
                 w = n * idf[t]
                 new = np.flatnonzero(np.diff(row, prepend=-1))
                 z = np.add.reduceat(q[t] * w[:, None], new, axis=0)
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
                 rows = row[new]
-                for at in range(0, len(rows), 4096):
-                    cos = z[at : at + 4096] @ items.T
-                    for i, k in zip(*np.nonzero(cos >= MIN_COSINE)):
-                        r = rows[at + i]
+                for at in range(0, len(rows), chunk):
+                    part = rows[at : at + chunk]
+                    i, k = np.nonzero(z[at : at + chunk] @ items.T >= MIN_COSINE)
+                    x, y = np.searchsorted(every, [part[0], part[-1] + 1])
+                    has = np.zeros((len(part), v + 1), bool)
+                    r = np.searchsorted(part, every[x:y])
+                    own = part[np.minimum(r, len(part) - 1)] == every[x:y]
+                    has[r[own], term[x:y][own]] = True
+                    # no subsequence is longer than the number of the piece's words that the passage has
+                    ok = has[i[:, None], words[k]].sum(1) >= MIN_LCS * lengths[k]
+                    i, k = i[ok], k[ok]
+                    ok = has[i[:, None], answers[k]].sum(1) >= MIN_ANSWER * n_answers[k]
+                    i, k = i[ok], k[ok]
+                    for r, k, c in zip(part[i], k, (z[at + i] * items[k]).sum(1)):
                         lo, hi = np.searchsorted(number, [r, r + 2])
-                        d = doc[lo] if lo < len(doc) else -1
-                        window = terms[lo:hi][(doc[lo:hi] == d) & (place[lo:hi] < (r - base[d] + 2) * STEP)] if d >= 0 else terms[:0]
-                        answer = bench.answer[k]
-                        if len(answer) and np.isin(answer, window).mean() < MIN_ANSWER:
-                            continue
+                        d = doc[lo]
+                        window = terms[lo:hi][(doc[lo:hi] == d) & (place[lo:hi] < (r - base[d] + 2) * STEP)]
                         share = lcs(seqs[k], window.tolist()) / len(seqs[k])
                         if share >= MIN_LCS:
-                            found.append((int(d), bench.ids[bench.item[k]], int((r - base[d]) * STEP), float(cos[i, k]), share))
+                            found.append((int(d), bench.ids[bench.item[k]], int((r - base[d]) * STEP), float(c), share))
             ids = b.column("d").to_pylist()
             cols = list(zip(*found)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x in cols[0]], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.float64())], ["doc_id", "item_id", "place", "cosine", "lcs"])
