@@ -88,33 +88,42 @@ class Model:
         return lang, margin
 
 
-def _logs(keys: np.ndarray, lang: np.ndarray, n_langs: int, limit: int, least: int) -> tuple[Table, np.ndarray]:
-    uniq, inv = np.unique(keys, return_inverse=True)
-    counts = np.zeros((len(uniq), n_langs))
-    np.add.at(counts, (inv, lang), 1)
-    total = counts.sum(1)
-    keep = np.lexsort((uniq, -total))[:limit]
-    keep = np.sort(keep[total[keep] >= least])
-    every = counts.sum(0) + 0.5 * max(len(keep), 1)
-    return Table(uniq[keep]), np.log((counts[keep] + 0.5) / every).astype(np.float32)
+class _Tally:
+    """Counts of keys by language; what slices add is summed up as it comes, so that no key is held once per occurrence."""
+
+    def __init__(self, n_langs: int):
+        self.n, self.keys, self.counts = n_langs, np.zeros(0, U), np.zeros((0, n_langs), np.int64)
+
+    def add(self, keys: np.ndarray, lang: np.ndarray) -> None:
+        own, at = np.unique(keys, return_inverse=True)
+        counts = np.bincount(at * self.n + lang, minlength=len(own) * self.n).reshape(-1, self.n)
+        every = np.union1d(self.keys, own)
+        out = np.zeros((len(every), self.n), np.int64)
+        out[np.searchsorted(every, self.keys)] = self.counts
+        out[np.searchsorted(every, own)] += counts
+        self.keys, self.counts = every, out
+
+    def logs(self, limit: int, least: int) -> tuple[Table, np.ndarray]:
+        total = self.counts.sum(1)
+        keep = np.lexsort((self.keys, -total))[:limit]
+        keep = np.sort(keep[total[keep] >= least])
+        every = self.counts.sum(0) + 0.5 * max(len(keep), 1)
+        return Table(self.keys[keep]), np.log((self.counts[keep] + 0.5) / every).astype(np.float32)
 
 
 def train(texts: list, langs: list) -> Model:
     names = sorted(set(langs))
     of = np.array([names.index(x) for x in langs], np.int64)
-    words, w_lang, grams, g_lang = [], [], {n: [] for n in GRAMS}, {n: [] for n in GRAMS}
+    words, grams = _Tally(len(names)), {n: _Tally(len(names)) for n in GRAMS}
     for x, y in slices(list(texts)):
         p = Packed(list(texts[x:y]))
         s, e, doc = p.words()
-        words.append(p.hash(s, e))
-        w_lang.append(of[x:y][doc])
+        words.add(p.hash(s, e), of[x:y][doc])
         for n in GRAMS:
             h, word = _ngrams(p, s, e, n)
-            grams[n].append(h)
-            g_lang[n].append(of[x:y][doc[word]])
-    cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
+            grams[n].add(h, of[x:y][doc[word]])
     least = 2 if len(texts) > 100 else 1
-    return Model(names, _logs(cat(words).astype(U), cat(w_lang), len(names), WORD_KEYS, least), {n: _logs(cat(grams[n]).astype(U), cat(g_lang[n]), len(names), GRAM_KEYS, least) for n in GRAMS})
+    return Model(names, words.logs(WORD_KEYS, least), {n: grams[n].logs(GRAM_KEYS, least) for n in GRAMS})
 
 
 def sample(docs: DataFrame, label: str, rows: int) -> pd.DataFrame:
