@@ -195,6 +195,24 @@ def test_decontamination(spark, sf, docs):
     assert 30_000 not in {d for d, _ in got}
 
 
+def test_decontamination_of_more_items_than_the_rank(spark, sf):
+    sf = sf.replace("0.001", "0.1")
+    rng = np.random.default_rng(5)
+    texts = [t.split(" ") for (t,) in spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 5 = 0 and text is not null").orderBy("doc_id").select("text").collect()]
+    texts = [t for t in texts if len(t) >= 100 and len(set(t[20:35])) > 8]  # an item of common words only never matches
+    items = [t for (t,) in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").select("text").collect()]
+    items += [" ".join(t[20 : 20 + rng.integers(15, 60)]) for t in texts[:400]]
+    docs = []
+    for k, item in enumerate(items):
+        t = texts[400 + k]
+        at = int(rng.integers(len(t)))
+        docs.append((k, " ".join(t[:at] + [item] + t[at:])))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    assert len(items) > 8 * decontaminate.RANK
+    assert [k for k in range(len(items)) if (k, k) not in got] == []
+
+
 def test_decontamination_in_small_chunks_is_the_same(spark, sf, docs, monkeypatch):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     b = sorted(map(tuple, bench.select("item_id", "text").collect()))
