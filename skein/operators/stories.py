@@ -7,46 +7,71 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import sentences as S
 from ..functions import text as T
+from .events import components
 
 GROUP_HOURS = 72.0
 SUMMARY = "struct<sentences: array<struct<text: string, source: string, item_id: string, composed: boolean>>, status: string, problems: array<string>, candidates: int>"
 
 
-def group_stories(items: DataFrame, block: str = "block", hours: float = GROUP_HOURS) -> DataFrame:
-    """(story_id, group_id): first fit within each block, in queue order; a story joins the first group
-    whose primary (highest score, then primary source, then tier) matches it.
+def story_facts(text: str) -> dict[str, list[str]]:
+    """What two stories are matched by: names (words and places), numbers, topic words."""
+    f = S.facts(text)
+    return {"names": sorted(set(w for n in f["names"] for w in n.split()) | set(f["places"])), "numbers": sorted(set(f["numbers"])), "topic": sorted(S.content(text))}
 
-    Two stories match with one event_id, or within the window with no number conflict and two shared
-    proper nouns and a topic similarity of 0.3, or one shared and 0.5. ``block`` is a column that matching stories share."""
 
-    def match(a, b) -> bool:
-        if a["event_id"] and a["event_id"] == b["event_id"]:
-            return True
-        if pd.notna(a["at"]) and pd.notna(b["at"]) and abs((a["at"] - b["at"]).total_seconds()) > hours * 3600:
-            return False
-        if a["numbers"] and b["numbers"] and not a["numbers"] & b["numbers"]:
-            return False
-        shared, both = len(a["names"] & b["names"]), len(a["topic"] | b["topic"])
-        topic = len(a["topic"] & b["topic"]) / both if both else 0.0
-        return shared >= 2 and topic >= 0.3 or shared == 1 and topic >= 0.5
+def same_story(a: dict, b: dict, hours: float = GROUP_HOURS) -> bool:
+    """One event_id, or within the window with no number conflict and two shared names and a topic similarity of 0.3, or one shared and 0.5."""
+    if a["event_id"] and a["event_id"] == b["event_id"]:
+        return True
+    if pd.notna(a["at"]) and pd.notna(b["at"]) and abs((a["at"] - b["at"]).total_seconds()) > hours * 3600:
+        return False
+    if a["numbers"] and b["numbers"] and not a["numbers"] & b["numbers"]:
+        return False
+    shared, both = len(a["names"] & b["names"]), len(a["topic"] | b["topic"])
+    topic = len(a["topic"] & b["topic"]) / both if both else 0.0
+    return shared >= 2 and topic >= 0.3 or shared == 1 and topic >= 0.5
+
+
+def group_stories(items: DataFrame, hours: float = GROUP_HOURS) -> DataFrame:
+    """(story_id, group_id): first fit in queue order; a story joins the first group whose primary
+    (highest score, then primary source, then tier) matches it by ``same_story``.
+
+    Stories match only if they share a name or an event_id, so pairs are made by these keys and
+    tested, and the first fit is run within each connected component of the matching pairs."""
+    sets = ("names", "numbers", "topic")
+    cols = ["story_id", "event_id", "at", "text", "priority_score", "primary_source", "tier", "queue_rank"]
+    found = F.pandas_udf(lambda texts: pd.DataFrame([story_facts(t or "") for t in texts], columns=list(sets)), ", ".join(f"{k} array<string>" for k in sets))
+    f = items.select(*cols).withColumn("f", found("text")).select(*[c for c in cols if c != "text"], "f.*")
+    f = f.withColumn("ord", F.monotonically_increasing_id()).checkpoint()
+    keys = F.transform("names", lambda x: F.concat(F.lit("n"), x))
+    keys = F.when(F.col("event_id") != "", F.array_append(keys, F.concat(F.lit("e"), "event_id"))).otherwise(keys)
+    index = f.select("ord", F.explode(keys).alias("key"))
+    pairs = index.alias("x").join(index.alias("y"), "key").where("x.ord < y.ord").select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).distinct()
+    side = lambda k: f.select(F.col("ord").alias(k), F.struct("event_id", "at", *sets).alias(f"{k}_f"))
+
+    @F.pandas_udf("boolean")
+    def matches(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
+        return pd.Series([same_story(x, y, hours) for x, y in zip(records(a), records(b))], dtype=bool)
+
+    def records(pdf: pd.DataFrame) -> list[dict]:
+        return [r | {k: set(r[k]) for k in sets} for r in pdf.to_dict("records")]
+
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(matches("a_f", "b_f")).select("a", "b")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["queue_rank", "story_id"], kind="stable")
         groups: list[list[dict]] = []
-        for r in pdf.to_dict("records"):
-            f = S.facts(r["text"] or "")
-            r |= {"names": set(w for n in f["names"] for w in n.split()) | set(f["places"]), "numbers": set(f["numbers"]), "topic": S.content(r["text"] or "")}
+        for r in records(pdf):
             for g in groups:
                 top = max(g, key=lambda x: (x["priority_score"], bool(x["primary_source"]), -x["tier"]))
-                if match(top, r):
+                if same_story(top, r, hours):
                     g.append(r)
                     break
             else:
                 groups.append([r])
         return pd.DataFrame([(r["story_id"], g[0]["story_id"]) for g in groups for r in g], columns=["story_id", "group_id"])
 
-    cols = ["story_id", "event_id", "at", "text", "priority_score", "primary_source", "tier", "queue_rank", block]
-    return items.select(*cols).groupBy(block).applyInPandas(run, "story_id string, group_id string")
+    return f.join(components(f, pairs), "ord").groupBy("root").applyInPandas(run, "story_id string, group_id string")
 
 
 def group_primary(items: DataFrame) -> DataFrame:

@@ -422,7 +422,7 @@ def sentence_facts(spark, sf_dir):
 
 def _stories(spark, sf_dir):
     a = articles(spark, sf_dir)
-    return a.select(F.col("ord").cast("string").alias("story_id"), F.lit(None).cast("string").alias("event_id"), F.col("published").alias("at"), F.concat_ws(". ", "title", "summary").alias("text"), F.col("title").alias("headline"), F.col("source_id").alias("source"), "url", (100 - F.col("ord") % 60).cast("double").alias("priority_score"), (F.col("source_role") == "official-primary").alias("primary_source"), "tier", F.col("ord").alias("queue_rank"), T.title_key(F.substring("title", 1, 12)).alias("block"))
+    return a.select(F.col("ord").cast("string").alias("story_id"), F.lit(None).cast("string").alias("event_id"), F.col("published").alias("at"), F.concat_ws(". ", "title", "summary").alias("text"), F.col("title").alias("headline"), F.col("source_id").alias("source"), "url", (100 - F.col("ord") % 60).cast("double").alias("priority_score"), (F.col("source_role") == "official-primary").alias("primary_source"), "tier", F.col("ord").alias("queue_rank"))
 
 
 def story_groups(spark, sf_dir):
