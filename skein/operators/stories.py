@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import headlines as H
 from ..functions import sentences as S
 from ..functions import text as T
 from .events import components
@@ -13,23 +14,34 @@ GROUP_HOURS = 72.0
 SUMMARY = "struct<sentences: array<struct<text: string, source: string, item_id: string, composed: boolean>>, status: string, problems: array<string>, candidates: int>"
 
 
-def story_facts(text: str) -> dict[str, list[str]]:
-    """What two stories are matched by: names (words and places), numbers, topic words."""
-    f = S.facts(text)
-    return {"names": sorted(set(w for n in f["names"] for w in n.split()) | set(f["places"])), "numbers": sorted(set(f["numbers"])), "topic": sorted(S.content(text))}
+def story_facts(headline: str) -> dict[str, list[str]]:
+    """What two stories are matched by."""
+    f = {"names": H.names, "actions": H.actions, "units": H.units, "large": H.large_numbers, "topic": H.topic}
+    return {k: list(v(headline)) for k, v in f.items()}
 
 
 def same_story(a: dict, b: dict, hours: float = GROUP_HOURS) -> bool:
-    """One event_id, or within the window with no number conflict and two shared names and a topic similarity of 0.3, or one shared and 0.5."""
+    """One event_id; else within the window, with no other number of one unit and no other places, two shared
+    names with a shared action, corroborating numbers or a topic similarity of 0.3, or one shared name and
+    action with a second action, corroborating numbers or a topic similarity of 0.15."""
     if a["event_id"] and a["event_id"] == b["event_id"]:
         return True
     if pd.notna(a["at"]) and pd.notna(b["at"]) and abs((a["at"] - b["at"]).total_seconds()) > hours * 3600:
         return False
-    if a["numbers"] and b["numbers"] and not a["numbers"] & b["numbers"]:
+    # the last number of a unit counts
+    x, y = (dict(u.split("=") for u in r["units"]) for r in (a, b))
+    if any(x[u] != y[u] for u in x.keys() & y.keys()):
         return False
-    shared, both = len(a["names"] & b["names"]), len(a["topic"] | b["topic"])
-    topic = len(a["topic"] & b["topic"]) / both if both else 0.0
-    return shared >= 2 and topic >= 0.3 or shared == 1 and topic >= 0.5
+    places = [set(r["names"]) & H.PLACES for r in (a, b)]
+    if all(places) and not places[0] & places[1]:
+        return False
+    shared = {k: set(a[k]) & set(b[k]) for k in ("names", "actions", "units", "large", "topic")}
+    both = set(a["topic"]) | set(b["topic"])
+    corroborated = bool(shared["units"] or shared["large"])
+    topic = len(shared["topic"]) / len(both) if both else 0.0
+    if len(shared["names"]) >= 2 and (shared["actions"] or corroborated or topic >= 0.3):
+        return True
+    return bool(shared["names"] and shared["actions"]) and (len(shared["actions"]) >= 2 or corroborated or topic >= 0.15)
 
 
 def group_stories(items: DataFrame, hours: float = GROUP_HOURS) -> DataFrame:
@@ -38,10 +50,10 @@ def group_stories(items: DataFrame, hours: float = GROUP_HOURS) -> DataFrame:
 
     Stories match only if they share a name or an event_id, so pairs are made by these keys and
     tested, and the first fit is run within each connected component of the matching pairs."""
-    sets = ("names", "numbers", "topic")
-    cols = ["story_id", "event_id", "at", "text", "priority_score", "primary_source", "tier", "queue_rank"]
-    found = F.pandas_udf(lambda texts: pd.DataFrame([story_facts(t or "") for t in texts], columns=list(sets)), ", ".join(f"{k} array<string>" for k in sets))
-    f = items.select(*cols).withColumn("f", found("text")).select(*[c for c in cols if c != "text"], "f.*")
+    sets = ("names", "actions", "units", "large", "topic")
+    cols = ["story_id", "event_id", "at", "headline", "priority_score", "primary_source", "tier", "queue_rank"]
+    found = F.pandas_udf(lambda headlines: pd.DataFrame([story_facts(t or "") for t in headlines], columns=list(sets)), ", ".join(f"{k} array<string>" for k in sets))
+    f = items.select(*cols).withColumn("f", found("headline")).select(*[c for c in cols if c != "headline"], "f.*")
     f = f.withColumn("ord", F.monotonically_increasing_id()).checkpoint()
     keys = F.transform("names", lambda x: F.concat(F.lit("n"), x))
     keys = F.when(F.col("event_id") != "", F.array_append(keys, F.concat(F.lit("e"), "event_id"))).otherwise(keys)
@@ -54,7 +66,7 @@ def group_stories(items: DataFrame, hours: float = GROUP_HOURS) -> DataFrame:
         return pd.Series([same_story(x, y, hours) for x, y in zip(records(a), records(b))], dtype=bool)
 
     def records(pdf: pd.DataFrame) -> list[dict]:
-        return [r | {k: set(r[k]) for k in sets} for r in pdf.to_dict("records")]
+        return pdf.to_dict("records")
 
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(matches("a_f", "b_f")).select("a", "b")
 

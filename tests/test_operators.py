@@ -29,6 +29,24 @@ def test_stories_of_one_event_id(spark):
     assert _groups(spark, "Rain in the hills", "Something else", "A third", events=["e", "f", "e"]) == {"0": "0", "1": "1", "2": "0"}
 
 
+def _same(a, b):
+    story = lambda t: {"event_id": None, "at": dt.datetime(2024, 1, 15)} | ST.story_facts(t)
+    return ST.same_story(story(a), story(b))
+
+
+def test_signals_of_one_story():
+    # names and an action, little else; then one name and a second action
+    assert _same("Zelensky visits Serbia for talks on energy", "Ukraine's leader Zelensky arrives in Belgrade")
+    assert _same("Typhoon Yagi death toll hits 200", "Flights resume once deadly storm Yagi kills dozens after strike on coast")
+    # the same large number, other words
+    assert _same("Analysts see Federal Reserve payrolls jump 272,000", "US economy adds 272,000 posts, Federal Reserve told")
+    # other places; other numbers of one unit; numbers of other units do not matter
+    assert not _same("Huge Wildfire in Canada forces evacuation of Red Lake", "Huge Wildfire in Spokane forces evacuation near Red Lake")
+    assert not _same("Storm Yagi floods leave 20,000 evacuated in Hanoi", "Storm Yagi floods leave 12,000 evacuated in Hanoi")
+    assert _same("Storm Yagi floods leave 20,000 evacuated in Hanoi", "Storm Yagi floods leave 45 dead in Hanoi")
+    assert not _same("Protest in Ukraine", "Minister from Ukraine resigns")
+
+
 ARTICLE = "ord long, title string, summary string, url string, author string, source_id string, source_role string, published timestamp, tier int"
 
 
