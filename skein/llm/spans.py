@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _M = 0x9E3779B97F4A7C15
@@ -20,6 +21,8 @@ _WORD[128:] = True
 _POW: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 CHUNK = 1 << 19
+#: Rows of an Arrow batch that are turned into Python objects at a time.
+ROWS = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -51,6 +54,13 @@ def slices(texts: list, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, which share their buffers; empty ones are left out."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 class Packed:
     """Texts in one buffer, each after a newline byte; a null text is as empty. ``words`` turns separators into spaces."""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -26,10 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one operator run, below the shared folder."""
+    """Tables of one operator run, below the shared folder. What a result still reads when the operator returns goes when the driver ends."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/skein-{uuid.uuid4().hex}"
+        atexit.register(self._end)
+
+    def _end(self) -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone by then
+            self.drop()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -42,3 +49,5 @@ class Scratch:
     def drop(self, name: str = "") -> None:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        if not name:
+            atexit.unregister(self._end)
