@@ -44,7 +44,7 @@ def oracle_sql() -> dict[str, str]:
             WITH p AS (
                 SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id,
                        round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS distance
-                FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+                FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND a.vec_id % {topk.EVERY} = 0),
             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM p)
             SELECT query_id, neighbor_id, distance, rank FROM r WHERE rank <= {topk.K}""",
         "op7_line_dedup": f"""
