@@ -9,23 +9,21 @@ Nulls, ties, extremes: a null or empty text is ``und`` with margin 0; ties betwe
 margin of 0, hence ``und``; a null doc_id is passed on; every word of a long text counts; each of
 several equal rows gets the same answer; an empty table gives an empty result. Training leaves out
 rows with null text or null language; with no usable row, or one language only, everything is
-``und``. Other columns, whatever their names, are never read and stages pass them on.
+``und``. Every word and n-gram of the sample is known, however rare. Other columns, whatever their names, are never read and stages pass them on.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .spans import Packed, Table, U, ragged, slices
+from .spans import Packed, Table, U, ragged, slices, small
 
 GRAMS = (5, 4, 3, 2, 1)
 MIN_MARGIN = 0.05
 #: Bound on the labelled rows that a model is fitted on (those of least hashed doc_id in each language).
 TRAIN_ROWS = 4000
-WORD_KEYS, GRAM_KEYS = 40_000, 20_000
 UNKNOWN = "und"
 
 
@@ -89,46 +87,57 @@ class Model:
 
 
 class _Tally:
-    """Counts of keys by language; what slices add is summed up as it comes, so that no key is held once per occurrence."""
+    """Counts of (key, language); what slices add is summed up as it comes, so that no key is held once per occurrence."""
 
-    def __init__(self, n_langs: int):
-        self.n, self.keys, self.counts = n_langs, np.zeros(0, U), np.zeros((0, n_langs), np.int64)
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, U), np.zeros(0, np.int64)
+        self.lang = np.zeros(0, np.int32)
 
     def add(self, keys: np.ndarray, lang: np.ndarray) -> None:
-        own, at = np.unique(keys, return_inverse=True)
-        counts = np.bincount(at * self.n + lang, minlength=len(own) * self.n).reshape(-1, self.n)
-        every = np.union1d(self.keys, own)
-        out = np.zeros((len(every), self.n), np.int64)
-        out[np.searchsorted(every, self.keys)] = self.counts
-        out[np.searchsorted(every, own)] += counts
-        self.keys, self.counts = every, out
-
-    def logs(self, limit: int, least: int) -> tuple[Table, np.ndarray]:
-        total = self.counts.sum(1)
-        keep = np.lexsort((self.keys, -total))[:limit]
-        keep = np.sort(keep[total[keep] >= least])
-        every = self.counts.sum(0) + 0.5 * max(len(keep), 1)
-        return Table(self.keys[keep]), np.log((self.counts[keep] + 0.5) / every).astype(np.float32)
+        keys, lang = np.concatenate([self.keys, keys]), np.concatenate([self.lang, lang.astype(np.int32)])
+        counts = np.concatenate([self.counts, np.ones(len(keys) - len(self.counts), np.int64)])
+        order = np.lexsort((lang, keys))
+        keys, lang, counts = keys[order], lang[order], counts[order]
+        new = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (lang[1:] != lang[:-1]))[: len(keys)])
+        self.keys, self.lang, self.counts = keys[new], lang[new], np.add.reduceat(counts, new) if len(new) else counts
+
+
+def _tally(texts: list, of: np.ndarray, into: dict[int, _Tally]) -> None:
+    """Add the words (under 0) and n-grams (under n) of the texts, whose language numbers are ``of``."""
+    for x, y in slices(texts):
+        p = Packed(texts[x:y])
+        s, e, doc = p.words()
+        into[0].add(p.hash(s, e), of[x:y][doc])
+        for n in GRAMS:
+            h, word = _ngrams(p, s, e, n)
+            into[n].add(h, of[x:y][doc[word]])
+
+
+def _model(names: list[str], n: np.ndarray, keys: np.ndarray, lang: np.ndarray, counts: np.ndarray) -> Model:
+    """From all keys of the sample, each once per n and language."""
+
+    def logs(of: int) -> tuple[Table, np.ndarray]:
+        at = n == of
+        own, row = np.unique(keys[at], return_inverse=True)
+        c = np.zeros((len(own), len(names)))
+        c[row, lang[at]] = counts[at]
+        return Table(own), np.log((c + 0.5) / (c.sum(0) + 0.5 * max(len(own), 1))).astype(np.float32)
+
+    return Model(names, logs(0), {g: logs(g) for g in GRAMS})
 
 
 def train(texts: list, langs: list) -> Model:
+    """The model of ``fit`` for texts at hand."""
     names = sorted(set(langs))
-    of = np.array([names.index(x) for x in langs], np.int64)
-    words, grams = _Tally(len(names)), {n: _Tally(len(names)) for n in GRAMS}
-    for x, y in slices(list(texts)):
-        p = Packed(list(texts[x:y]))
-        s, e, doc = p.words()
-        words.add(p.hash(s, e), of[x:y][doc])
-        for n in GRAMS:
-            h, word = _ngrams(p, s, e, n)
-            grams[n].add(h, of[x:y][doc[word]])
-    least = 2 if len(texts) > 100 else 1
-    return Model(names, words.logs(WORD_KEYS, least), {n: grams[n].logs(GRAM_KEYS, least) for n in GRAMS})
+    into = {n: _Tally() for n in (0, *GRAMS)}
+    _tally(list(texts), np.array([names.index(x) for x in langs], np.int64), into)
+    of = np.concatenate([np.full(len(t.keys), n) for n, t in into.items()])
+    return _model(names, of, *(np.concatenate([getattr(t, c) for t in into.values()]) for c in ("keys", "lang", "counts")))
 
 
-def sample(docs: DataFrame, label: str, rows: int) -> pd.DataFrame:
-    """``rows`` labelled rows of least hashed doc_id, in equal shares by label; whole texts, ordered by doc_id."""
-    known = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+def sample(docs: DataFrame, label: str, rows: int) -> tuple[DataFrame, list]:
+    """``rows`` labelled rows of least hashed doc_id, in equal shares by label (doc_id, text, label), and the labels. The texts stay on the executors."""
+    known = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text", label)
     ids = known.select(F.col("doc_id").alias("i"), F.col(label).alias("l")).distinct()
     labels = sorted(r["l"] for r in ids.select("l").distinct().collect())
     picked = None
@@ -136,14 +145,25 @@ def sample(docs: DataFrame, label: str, rows: int) -> pd.DataFrame:
         part = ids.where(F.col("l") == F.lit(v)).orderBy(F.xxhash64("i"), "i").limit(max(1, rows // len(labels))).select("i")
         picked = part if picked is None else picked.union(part)
     if picked is None:
-        return pd.DataFrame({"doc_id": [], "text": [], label: []})
-    got = known.select("doc_id", "text", label).join(F.broadcast(picked.distinct()), F.col("doc_id") == F.col("i"), "left_semi")
-    return got.toPandas().sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
+        return known.limit(0), []
+    return known.join(F.broadcast(picked.distinct()), F.col("doc_id") == F.col("i"), "left_semi"), labels  # at most ``rows`` ids
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    got = sample(docs, "lang", rows)
-    return train(got["text"].tolist(), got["lang"].tolist())
+    """Counted on the executors; the driver gets each key of the sample once per language."""
+    some, names = sample(docs, "lang", rows)
+    number = {v: k for k, v in enumerate(names)}
+
+    def count(batches):
+        into = {n: _Tally() for n in (0, *GRAMS)}
+        for b in small(batches):
+            _tally(b.column(0).to_pylist(), np.array([number[v] for v in b.column(1).to_pylist()], np.int64), into)
+        for n, t in into.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(t.keys), n, np.int32)), pa.array(t.keys.view(np.int64)), pa.array(t.lang), pa.array(t.counts)], ["n", "h", "l", "c"])
+
+    got = some.select("text", "lang").mapInArrow(count, "n int, h long, l int, c long").groupBy("n", "h", "l").agg(F.sum("c").alias("c")).toArrow()
+    n, h, lang, c = (got.column(k).to_numpy() for k in ("n", "h", "l", "c"))
+    return _model(names, n, h.astype(np.int64).view(U), lang, c)
 
 
 def identify(docs: DataFrame, model: Model | None = None, min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -151,7 +171,7 @@ def identify(docs: DataFrame, model: Model | None = None, min_margin: float = MI
     model = model or fit(docs)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             lang, margin = model.predict(b.column(1).to_pylist(), min_margin)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(margin), pa.array([x != UNKNOWN for x in lang], pa.bool_())], ["doc_id", "language", "margin", "keep"])
 
@@ -163,7 +183,7 @@ def language_stage(docs: DataFrame, model: Model | None = None, min_margin: floa
     model, at = model or fit(docs), docs.columns.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             lang, _ = model.predict(b.column(at).to_pylist(), min_margin)
             yield b.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
 

@@ -6,27 +6,35 @@ are the ``FEATURES`` n-grams most associated with the label (chi-square); weight
 logistic regression; the threshold maximises F1 on a fifth of the sample held out by hashed
 doc_id, with classes weighted to their shares among all labels.
 
+N-grams are counted on the executors: a plain aggregate gives each one's numbers of toxic and
+clean documents, and the driver gets the chosen features and, for the sample's documents, the
+numbers of the features that they hold, but no text.
+
 Nulls, ties, extremes: a null or empty text has no n-grams, so its score is the intercept's; all
 n-grams of a long text count; equal texts get equal scores; a null doc_id is passed on. Labels
 that are null or of no document are left out; a document with several labels is toxic if one says
-so. Without labels of both kinds every score is 0. An empty table gives an empty result. Other
+so. Without labels of both kinds every score is 0; if a part of the sample, the held or the other, lacks one kind, all of it serves for both. An empty table gives an empty result. Other
 columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .language_id import sample
-from .spans import Packed, Table, U, slices
+from .spans import Packed, Table, U, mix, slices, small
+from .store import Scratch
 
 GRAMS = (3, 4, 5)
 #: Bound on the labelled rows fitted on, in equal shares of both labels.
 TRAIN_ROWS = 6000
 FEATURES = 4096
+#: An n-gram of fewer training documents is no feature.
+MIN_DF = 3
+#: N-grams that a task adds up before it passes them on.
+TALLY = 1 << 20
 _BITS = 22
 
 
@@ -64,54 +72,117 @@ class Model:
         self.some = np.zeros(1 << _BITS, bool)
         self.some[(keys & U((1 << _BITS) - 1)).astype(np.int64)] = True
 
+    def present(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(text, feature) pairs."""
+        d, h = _present(texts, lambda q: self.some[(q & U((1 << _BITS) - 1)).astype(np.int64)])
+        at = self.table.find(h)
+        return d[at >= 0], at[at >= 0]
+
     def scores(self, texts: list) -> np.ndarray:
         if not len(self.weights):
             return np.zeros(len(texts))
-        d, h = _present(texts, lambda q: self.some[(q & U((1 << _BITS) - 1)).astype(np.int64)])
-        at = self.table.find(h)
-        z = np.bincount(d[at >= 0], weights=self.weights[at[at >= 0]], minlength=len(texts)) + self.bias
-        return 1 / (1 + np.exp(-z))
+        return self.of(*self.present(texts), len(texts))
 
+    def of(self, d: np.ndarray, f: np.ndarray, n: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-(np.bincount(d, weights=self.weights[f], minlength=n) + self.bias)))
 
-def _fit_lr(d, f, n, k, y, steps=400, l2=1.0, scale=None):
-    """Nesterov descent on the penalised logistic loss; features are (row, column) pairs with value scale[column]."""
-    v = scale[f]
+
+def _fit_lr(d, f, n, k, y, scale, steps=400, l2=1.0):
+    """Nesterov descent on the penalised logistic loss; (row, column) pairs have the value scale[column]."""
+    by_f = np.argsort(f, kind="stable")
+    rows, of = d[by_f].astype(np.int32), np.flatnonzero(np.diff(f[by_f], prepend=-1))
+    cols = f[by_f][of]
+    d, f = d[(by_d := np.argsort(d, kind="stable"))], f[by_d].astype(np.int32)
+    own = np.flatnonzero(np.diff(d, prepend=-1))
+    own_d = d[own]
     w, b, pw, pb = np.zeros(k), 0.0, np.zeros(k), 0.0
-    row = np.bincount(d, weights=v * v, minlength=n)
-    rate = 1 / (0.25 * (row.max(initial=1) + 1) * n / n + l2 / n)
+    norm = np.zeros(n)
+    if len(own):
+        norm[own_d] = np.add.reduceat((scale * scale)[f], own)
+    rate = 1 / (0.25 * (norm.max(initial=1) + 1) + l2 / n)
     for t in range(steps):
         m = t / (t + 3)
         uw, ub = w + m * (w - pw), b + m * (b - pb)
-        g = 1 / (1 + np.exp(-(np.bincount(d, weights=v * uw[f], minlength=n) + ub))) - y
-        gw = np.bincount(f, weights=v * g[d], minlength=k) / n + l2 * uw / n
+        z = np.full(n, ub)
+        gw = l2 * uw / n
+        if len(own):
+            z[own_d] += np.add.reduceat((scale * uw)[f], own)
+        g = 1 / (1 + np.exp(-z)) - y
+        if len(own):
+            gw[cols] += scale[cols] * np.add.reduceat(g[rows], of) / n
         pw, pb = w, b
         w, b = uw - rate * gw, ub - rate * g.mean()
     return w, b
 
 
-def train(texts: list, y: np.ndarray, held: np.ndarray, share: float) -> Model:
-    """``held`` rows only set the threshold; ``share`` is the share of toxic documents to weight them by."""
-    fit = np.flatnonzero(~held)
-    d, h = _present([texts[i] for i in fit])
-    yt = y[fit].astype(float)
-    keys, f = np.unique(h, return_inverse=True)
-    pos = np.bincount(f, weights=yt[d], minlength=len(keys))
-    neg = np.bincount(f, minlength=len(keys)) - pos
-    n1, n0 = yt.sum(), (1 - yt).sum()
-    det = pos * (n0 - neg) - neg * (n1 - pos)
-    df = pos + neg
-    chi = det**2 / np.maximum(df * (len(yt) - df), 1)
-    chi[df < (3 if len(yt) > 50 else 1)] = 0
-    top = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
-    top = top[chi[top] > 0]
-    at = np.full(len(keys), -1)
-    at[top] = np.arange(len(top))
-    ok = at[f] >= 0
-    r = np.log(((pos + 1) / (n1 + 2)) / ((neg + 1) / (n0 + 2)))[top]
-    w, b = _fit_lr(d[ok], at[f][ok], len(fit), len(top), yt, scale=r)
-    model = Model(keys[top], w * r, b, 0.5)
-    on = np.flatnonzero(held) if held.any() and 0 < y[held].sum() < held.sum() else fit
-    p, t = model.scores([texts[i] for i in on]), y[on].astype(bool)
+def _counted(batches):
+    """Rows (text, y): each n-gram's numbers of toxic and clean documents."""
+
+    def passed(keys, pos, neg):
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(pos), pa.array(neg)], ["h", "pos", "neg"])
+
+    keys, pos, neg = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for b in small(batches):
+        texts, y = b.column(0).to_pylist(), b.column(1).to_numpy().astype(np.int64)
+        for x, z in slices(texts):
+            d, h = _present(texts[x:z])
+            every, at = np.unique(np.concatenate([keys, h]), return_inverse=True)
+            t = y[x:z][d]
+            both = [np.bincount(at, weights=np.concatenate([old, new]), minlength=len(every)).astype(np.int64) for old, new in ((pos, t), (neg, 1 - t))]
+            keys, pos, neg = every, *both
+            if len(keys) > TALLY:
+                yield passed(keys, pos, neg)
+                keys, pos, neg = keys[:0], pos[:0], neg[:0]
+    yield passed(keys, pos, neg)
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("__i")).agg(F.max(F.col("toxic").cast("int")).alias("__toxic"))
+    share = known.agg(F.avg("__toxic").alias("m")).first()["m"]
+    both = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__i")).select("doc_id", "text", "__toxic")
+    picked, kinds = sample(both, "__toxic", rows)
+    none = Model(np.zeros(0, U), np.zeros(0), 0.0, 0.5)
+    if len(kinds) < 2:
+        return none
+    scratch = Scratch(docs.sparkSession)
+    # the sample is spread over tasks again: its rows may lie anywhere in the table
+    some = scratch.keep(picked.select("doc_id", "text", F.col("__toxic").alias("y"), (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("held")).repartition("doc_id"), "sample")
+    parts = {(r["held"], r["y"]): r["n"] for r in some.groupBy("held", "y").agg(F.count("*").alias("n")).collect()}
+    split = len(parts) == 4
+    some = some.select("text", "y", (~F.col("held") if split else F.lit(True)).alias("fitted"), (F.col("held") if split else F.lit(True)).alias("judged"))
+    n1, n0 = (sum(n for (held, y), n in parts.items() if y == k and not (split and held)) for k in (1, 0))
+    grams = some.where("fitted").select("text", "y").mapInArrow(_counted, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))
+    df = F.col("pos") + F.col("neg")
+    det = F.col("pos") * (n0 - F.col("neg")) - F.col("neg") * (n1 - F.col("pos"))
+    chi = det * det / F.greatest(df * (n1 + n0 - df), F.lit(1.0))
+    top = grams.where(df >= MIN_DF).select("h", "pos", "neg", chi.alias("chi")).where("chi > 0").orderBy(F.desc("chi"), "h").limit(FEATURES).toArrow()
+    keys = top.column("h").to_numpy().astype(np.int64).view(U)
+    pos, neg = top.column("pos").to_numpy(), top.column("neg").to_numpy()
+    r = np.log(((pos + 1) / (n1 + 2)) / ((neg + 1) / (n0 + 2)))
+    model = Model(keys, r, 0.0, 0.5)
+
+    def features(batches):
+        for b in small(batches):
+            d, f = model.present(b.column(0).to_pylist())
+            order = np.lexsort((f, d))
+            f, cut = f[order].astype(np.int32), np.searchsorted(d[order], np.arange(b.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array([f[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())], ["y", "fitted", "judged", "f"])
+
+    got = some.mapInArrow(features, "y int, fitted boolean, judged boolean, f binary").toArrow().sort_by([("y", "ascending"), ("f", "ascending")]).combine_chunks()
+    scratch.drop()
+    f = [np.frombuffer(x, np.int32) for x in got.column("f").to_pylist()]
+    d = np.repeat(np.arange(len(f), dtype=np.int32), [len(x) for x in f])
+    f = np.concatenate(f) if f else np.zeros(0, np.int32)
+    y, fitted, judged = (np.asarray(got.column(c).to_pylist(), bool) for c in ("y", "fitted", "judged"))
+    place = np.cumsum(fitted) - 1
+    w, b = _fit_lr(place[d[fitted[d]]], f[fitted[d]], int(fitted.sum()), len(keys), y[fitted].astype(float), r)
+    model = Model(keys, w * r, b, 0.5)
+    model.threshold = threshold(model.of(d, f, len(y))[judged], y[judged], float(share))
+    return model
+
+
+def threshold(p: np.ndarray, t: np.ndarray, share: float) -> float:
+    """The score that maximises F1 where ``share`` of the documents are toxic; t tells which of those at hand are."""
     weight = np.where(t, share / max(t.mean(), 1e-9), (1 - share) / max(1 - t.mean(), 1e-9))
     order = np.argsort(-p, kind="stable")
     tp, fp = np.cumsum((weight * t)[order]), np.cumsum((weight * ~t)[order])
@@ -119,22 +190,7 @@ def train(texts: list, y: np.ndarray, held: np.ndarray, share: float) -> Model:
     f1[:-1][p[order][1:] == p[order][:-1]] = -1
     k = int(f1.argmax())
     after = p[order][k + 1] if k + 1 < len(p) else 0.0
-    model.threshold = float((p[order][k] + after) / 2)
-    return model
-
-
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("__i")).agg(F.max(F.col("toxic").cast("int")).alias("__toxic"))
-    rates = known.agg(F.avg("__toxic").alias("m")).first()["m"]
-    both = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__i")).select("doc_id", "text", "__toxic")
-    got: pd.DataFrame = sample(both, "__toxic", rows)
-    y = got["__toxic"].to_numpy(int)
-    if not 0 < y.sum() < len(y):
-        return Model(np.zeros(0, U), np.zeros(0), 0.0, 0.5)
-    from .spans import mix
-
-    held = (mix(got["doc_id"].to_numpy(np.int64).astype(U)) % U(5) == 0) & (len(y) >= 50)
-    return train(got["text"].tolist(), y, held, float(rates))
+    return float((p[order][k] + after) / 2)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
@@ -142,7 +198,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, model: Model | None = None) ->
     model = model or fit(docs, labels)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             p = model.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= model.threshold) & bool(len(model.weights)))], ["doc_id", "score", "toxic"])
 
