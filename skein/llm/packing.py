@@ -1,90 +1,86 @@
-"""Best-fit packing of documents into sequences of ``capacity`` words, in bulk-synchronous rounds.
-
-A document longer than the capacity is cut into full pieces and a remainder. Pieces are taken in
-levels of length, longest first: (capacity/2, capacity], (capacity/4, capacity/2] and so on, the
-last level being all that is left. A round of a level
-
-1. range-sorts the pieces and the gaps of open sequences by size (a gap that can hold q of the
-   level's longest pieces is q slots, the last of which has what is left over);
-2. sweeps both from the largest size down: each piece takes the least free slot that holds it, its
-   successor. Sizes are at most the capacity, so the sweep works on counts by size, which do not
-   grow with the data; pieces and slots are ranked within their size on the executors;
-3. resolves conflicts by rank: of the pieces that want the slots of one size, the k-th takes the
-   k-th; the pieces beyond are swept on;
-4. takes the lengths off the gaps.
-
-Rounds repeat until no piece of the level finds a slot; the level's other pieces open new
-sequences, each filled in order of rank with as many as surely fit. Lengths are numbers of white-space separated words.
+"""Best-fit packing of documents into sequences of ``capacity`` words.
+
+A document longer than the capacity is cut into full pieces and a remainder. Lengths are numbers
+of white-space separated words, so a length is one of ``capacity`` values whatever the data's size.
+
+1. Pieces are range-sorted by length, longest first, then by doc_id and piece; a piece's rank among
+   those of its length follows from its place in its range and the sizes of the ranges before it. No
+   length, however common, is sorted by one task alone.
+2. The gaps of open sequences are range-sorted too, held as runs: sequences of successive numbers
+   with the same gap. Pieces of one length are a run as well.
+3. Rounds: the longest pieces left take their successor, the run of least gap that holds them; each
+   sequence of that run takes as many as fit. Where no gap holds them they open new sequences.
+4. Conflicts are resolved by rank: of the pieces of a length the k-th takes the k-th free slot of
+   the run, and the pieces beyond go on to the next round.
+5. The gaps of the run are updated, and it goes back among the runs by its new gap.
+
+The result is that of sequential best-fit decreasing. A round changes runs, not rows: a round
+empties a length or a run, and a length leaves at most three new runs, so rounds and runs
+depend on the capacity alone. They are swept on the driver, and each piece then finds its
+sequence by its rank from the list of matches, in one join.
 
 Nulls, ties, extremes: documents that are null, empty or blank have no pieces and are not in the
-result; rows with a null doc_id are packed too. Equal lengths are ranked by doc_id, then piece,
-then a number of the row, so repeated rows are packed each for themselves. An empty table gives an empty
-result. Other columns are not read.
+result; rows with a null doc_id are packed too. Pieces of equal length are ranked by doc_id, then
+piece; repeated rows are packed each for themselves. An empty table gives an empty result. Other
+columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .store import Scratch
 
 CAPACITY = 2048
-LEVELS = 8
-
-
-def levels(capacity: int) -> list[tuple[int, int]]:
-    """(longest, shortest) piece of each level."""
-    out, hi = [], capacity
-    for k in range(LEVELS):
-        lo = 1 if k == LEVELS - 1 else hi // 2 + 1
-        if hi >= 1:
-            out.append((hi, min(lo, hi)))
-        hi = lo - 1
-    return [x for x in out if x[0] >= x[1]]
-
-
-def sweep(pieces: np.ndarray, slots: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """Matches of one round. Arguments: counts by size. A match (size, from, gap, at, n) gives the pieces of
-    that size with rank from..from+n-1 the slots of size gap with rank at..at+n-1 (ranks from 0)."""
-    out, stack, used = [], [], np.zeros(len(slots), np.int64)
-    for size in range(len(pieces) - 1, 0, -1):
-        if slots[size]:
-            stack.append(size)
-        taken = 0
-        while taken < pieces[size] and stack:
-            gap = stack[-1]
-            n = int(min(pieces[size] - taken, slots[gap] - used[gap]))
-            out.append((size, taken, gap, int(used[gap]), n))
-            taken += n
-            used[gap] += n
-            if used[gap] == slots[gap]:
-                stack.pop()
-    return out
+RESULT = "doc_id long, piece int, sequence long, place long, n_words int"
+_LOCAL = 33  # bits of a row's number within its partition in monotonically_increasing_id
 
 
-def opened(counts: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """New sequences for pieces given by counts of size: (size, rank from, n pieces, first sequence, pieces in each).
-    A sequence takes pieces of one size; the last of a size may hold fewer."""
-    out, first = [], 0
-    for size in range(len(counts) - 1, 0, -1):
-        if counts[size]:
-            each = capacity // size
-            out.append((size, 0, int(counts[size]), first, each))
-            first += -(-int(counts[size]) // each)
-    return out
+def sweep(counts: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int, int]]:
+    """Matches for counts of pieces by length: (length, rank from, n pieces, pieces in each sequence, first sequence, words before).
+    The pieces of that length and rank from..from+n-1 go in order of rank into sequences first, first+1 and so on."""
+    out: list[tuple[int, int, int, int, int, int]] = []
+    runs: dict[int, list[tuple[int, int]]] = {}  # gap: (first sequence, number of sequences), last come first served
+    gaps: list[int] = []  # those that have runs, ascending
+    opened = 0
 
+    def put(gap: int, first: int, n: int) -> None:
+        if gap and n:
+            if gap not in runs:
+                runs[gap] = []
+                bisect.insort(gaps, gap)
+            runs[gap].append((first, n))
 
-def _counts(df: DataFrame, column: str, top: int) -> np.ndarray:
-    out = np.zeros(top + 1, np.int64)
-    for r in df.groupBy(column).count().collect():
-        out[r[column]] = r["count"]
+    for size in range(len(counts) - 1, 0, -1):
+        rank, left = 0, int(counts[size])
+        while left:
+            at = bisect.bisect_left(gaps, size)
+            if at < len(gaps):
+                gap = gaps[at]
+                first, n = runs[gap].pop()
+                if not runs[gap]:
+                    del runs[gap], gaps[at]
+            else:
+                gap, first, n = capacity, opened, -(-left // (capacity // size))
+                opened += n
+            each = gap // size
+            take = min(left, n * each)
+            out.append((size, rank, take, each, first, capacity - gap))
+            full, some = divmod(take, each)
+            put(gap - each * size, first, full)
+            if some:
+                put(gap - some * size, first + full, 1)
+            put(gap, first + full + bool(some), n - full - bool(some))
+            rank, left = rank + take, left - take
     return out
 
 
 def pieces_of(docs: DataFrame, capacity: int) -> DataFrame:
-    words = F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " "))
-    n = docs.where(F.col("text").isNotNull() & (F.col("text").rlike(r"\S"))).select(F.col("doc_id").cast("long").alias("doc_id"), words.cast("long").alias("w"))
+    words = F.regexp_count("text", F.lit(r"\S+")).cast("long")
+    n = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("w")).where("w > 0")
     last = F.expr(f"cast((w + {capacity} - 1) div {capacity} as int)")
     cut = n.select("doc_id", "w", F.posexplode(F.sequence(F.lit(1), last)).alias("piece", "x"))
     return cut.select("doc_id", "piece", F.least(F.lit(capacity), F.col("w") - F.col("piece") * capacity).cast("int").alias("len"))
@@ -94,52 +90,36 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece (from 0), sequence, place (words before it in its sequence), n_words."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    rows = scratch.keep(pieces_of(docs, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
-    rank = lambda by, *order: F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long") - 1
-    gaps = spark.createDataFrame([], "seq long, gap int")
-    placed: DataFrame | None = None
-    n_seq = turn = 0
-    for hi, lo in levels(capacity):
-        left = rows.where(F.col("len").between(lo, hi))
-        while True:
-            turn += 1
-            want = _counts(left, "len", hi)
-            if not want.sum():
-                break
-            slots = gaps.where(F.col("gap") >= lo)
-            if hi > 1:  # as many slots as pieces of the greatest length fit, the last one with what is left over
-                q = F.greatest(F.lit(1), F.expr(f"gap div {hi}"))
-                slots = slots.select("seq", "gap", F.explode(F.sequence(F.lit(1), q.cast("int"))).alias("k"), q.alias("q"))
-                slots = slots.select("seq", "k", F.when(F.col("k") < F.col("q"), F.lit(hi)).otherwise(F.col("gap") - (F.col("q") - 1) * hi).cast("int").alias("size"))
-            else:
-                slots = slots.select("seq", F.explode(F.sequence(F.lit(1), F.col("gap"))).alias("k"), F.lit(1).alias("size"))
-            top = 2 * hi + 1
-            have = _counts(slots, "size", top) if n_seq else np.zeros(top + 1, np.int64)
-            found = sweep(np.concatenate([want, np.zeros(top - hi, np.int64)]), have)
-            ranked = left.withColumn("r", rank("len", "doc_id", "piece", "row"))
-            if found:
-                plan = F.broadcast(spark.createDataFrame(found, "size int, lo long, to int, at long, n long"))
-                goes = ranked.join(plan, (F.col("len") == F.col("size")) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("lo") + F.col("n")), "left")
-                goes = goes.select("doc_id", "piece", "len", "row", "to", (F.col("at") + F.col("r") - F.col("lo")).alias("place"))
-                of = slots.withColumn("place", rank("size", "seq", "k")).select(F.col("size").alias("to"), "place", "seq")
-                both = scratch.keep(goes.join(of, ["to", "place"], "left").select("doc_id", "piece", "len", "row", "seq"), f"round_{turn}")
-                now = both.where("seq is not null")
-                used = now.groupBy("seq").agg(F.sum("len").alias("u"))
-                gaps = scratch.keep(gaps.join(used, "seq", "left").select("seq", (F.col("gap") - F.coalesce("u", F.lit(0))).cast("int").alias("gap")).where("gap > 0"), f"gaps_{turn}")
-                left = both.where("seq is null").select("doc_id", "piece", "len", "row")
-            else:
-                new = opened(want, capacity)
-                plan = F.broadcast(spark.createDataFrame(new, "size int, lo long, n long, first long, each int"))
-                now = ranked.join(plan, F.col("len") == F.col("size")).select("doc_id", "piece", "len", "row", (F.lit(n_seq) + F.col("first") + F.expr("r div each")).alias("seq"))
-                now = scratch.keep(now, f"round_{turn}")
-                fresh = now.groupBy("seq").agg((F.lit(capacity) - F.sum("len")).cast("int").alias("gap")).where("gap > 0")
-                gaps = scratch.keep(gaps.union(fresh), f"gaps_{turn}")
-                n_seq += sum(-(-n // each) for _, _, n, _, each in new)
-                left = None
-            placed = now if placed is None else placed.union(now)
-            if left is None:
-                break
-    if placed is None:
-        return spark.createDataFrame([], "doc_id long, piece int, sequence long, place long, n_words int")
-    before = F.sum("len").over(Window.partitionBy("seq").orderBy(F.desc("len"), "doc_id", "piece", "row").rowsBetween(Window.unboundedPreceding, -1))
-    return placed.select("doc_id", "piece", F.col("seq").alias("sequence"), F.coalesce(before, F.lit(0)).cast("long").alias("place"), F.col("len").alias("n_words"))
+    ranged = pieces_of(docs, capacity).orderBy(F.desc("len"), "doc_id", "piece").withColumn("m", F.monotonically_increasing_id())
+    rows = scratch.keep(ranged, "pieces")
+    # a few rows for each range: its rows, by length
+    part = F.shiftright("m", _LOCAL).cast("int")
+    parts = rows.groupBy(part.alias("part"), "len").agg(F.count("*").alias("n")).collect()
+    if not parts:
+        scratch.drop()
+        return spark.createDataFrame([], RESULT)
+    counts = np.zeros(capacity + 1, np.int64)
+    of_part: dict[int, int] = {}
+    for r in parts:
+        counts[r["len"]] += r["n"]
+        of_part[r["part"]] = of_part.get(r["part"], 0) + r["n"]
+    before = np.cumsum(counts[::-1])[::-1] - counts  # pieces longer than each length
+    offsets, total = [], 0
+    for p in sorted(of_part):
+        offsets.append((p, total))
+        total += of_part[p]
+    # both are bounded: by the number of ranges, and by the capacity
+    starts = F.broadcast(spark.createDataFrame(offsets, "part int, start long"))
+    made = [(size, int(before[size]) + rank, int(before[size]) + rank + n, each, first, used) for size, rank, n, each, first, used in sweep(counts, capacity)]
+    plan = F.broadcast(spark.createDataFrame(made, "size int, lo long, hi long, each int, first long, used long"))
+    mask = (1 << _LOCAL) - 1
+    ranked = rows.join(starts, part == F.col("part")).select("doc_id", "piece", "len", (F.col("start") + F.col("m").bitwiseAND(F.lit(mask))).alias("g"))
+    both = ranked.join(plan, (F.col("len") == F.col("size")) & (F.col("g") >= F.col("lo")) & (F.col("g") < F.col("hi")))
+    k = F.col("g") - F.col("lo")
+    return both.select(
+        "doc_id",
+        "piece",
+        (F.col("first") + F.expr("(g - lo) div each")).alias("sequence"),
+        (F.col("used") + F.col("len") * (k % F.col("each"))).cast("long").alias("place"),
+        F.col("len").alias("n_words"),
+    )
