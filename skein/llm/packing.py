@@ -79,8 +79,8 @@ def sweep(counts: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, i
 
 
 def pieces_of(docs: DataFrame, capacity: int) -> DataFrame:
-    words = F.regexp_count("text", F.lit(r"\S+")).cast("long")
-    n = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("w")).where("w > 0")
+    words = F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")).cast("long")
+    n = docs.where(F.col("text").rlike(r"\S")).select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("w"))
     last = F.expr(f"cast((w + {capacity} - 1) div {capacity} as int)")
     cut = n.select("doc_id", "w", F.posexplode(F.sequence(F.lit(1), last)).alias("piece", "x"))
     return cut.select("doc_id", "piece", F.least(F.lit(capacity), F.col("w") - F.col("piece") * capacity).cast("int").alias("len"))
@@ -90,8 +90,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece (from 0), sequence, place (words before it in its sequence), n_words."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    ranged = pieces_of(docs, capacity).orderBy(F.desc("len"), "doc_id", "piece").withColumn("m", F.monotonically_increasing_id())
-    rows = scratch.keep(ranged, "pieces")
+    # written first: the range sort reads its input twice, and should not count words twice
+    pieces = scratch.keep(pieces_of(docs, capacity), "pieces")
+    rows = scratch.keep(pieces.orderBy(F.desc("len"), "doc_id", "piece").withColumn("m", F.monotonically_increasing_id()), "ranged")
+    scratch.drop("pieces")
     # a few rows for each range: its rows, by length
     part = F.shiftright("m", _LOCAL).cast("int")
     parts = rows.groupBy(part.alias("part"), "len").agg(F.count("*").alias("n")).collect()
