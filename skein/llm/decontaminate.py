@@ -16,8 +16,8 @@ energy.
 Items of more than ``STEP`` words are matched by pieces of at most that many, so that a piece
 always lies within one passage; one matched piece is a leak.
 
-Nulls, ties, extremes: null or empty texts leak nothing and items of null text are left out; an
-item whose words are all common has nothing to retrieve it by and never matches; rows with a null
+Nulls, ties, extremes: null or empty texts leak nothing and items of null text are left out; a
+piece whose words are all common in the benchmark leaks only where all of it stands word by word, as such words turn up in order anywhere; rows with a null
 doc_id are not reported and stay in the stage; rows of one doc_id are reported once per item with
 the greatest figures; of repeated items each item_id is reported; all words of a long document are read. Empty tables give an
 empty result. Other columns are not read.
@@ -25,14 +25,15 @@ empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .spans import Packed, Table, slices
-from .store import Scratch
+from .spans import Packed, Table, slices, small
+from .store import Scratch, text_batches
 
 WINDOW, STEP = 128, 64
 RANK = 64
@@ -41,7 +42,9 @@ MIN_LCS, MIN_ANSWER = 0.6, 0.5
 ITEMS = 20_000
 BLOCK = 512
 #: Cells of the search's dense tables; sets how many passages are compared at a time.
-CELLS = 1 << 23
+CELLS = 1 << 21
+#: Documents handled at a time: their passages' sketches are held, one of RANK numbers for each word.
+DOCS = 128
 
 
 class Bench:
@@ -84,10 +87,10 @@ class Bench:
 
 
 def _occurrences(bench: Bench):
-    """Per document: gaps between places of vocabulary words (cut to 16 bits), and the words."""
+    """Per document: gaps between places of vocabulary words, and the words."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts = b.column(1).to_pylist()
             gaps, terms = [b""] * len(texts), [b""] * len(texts)
             for x, y in slices(texts):
@@ -100,7 +103,7 @@ def _occurrences(bench: Bench):
                 place = have - first[d]
                 gap = place.copy()
                 gap[1:] -= np.where(d[1:] == d[:-1], place[:-1], 0)
-                gap = np.minimum(gap, 65535).astype(np.uint16)
+                gap = gap.astype(np.uint32)
                 cut = np.searchsorted(d, np.arange(y - x + 1))
                 for k in range(y - x):
                     gaps[x + k], terms[x + k] = gap[cut[k] : cut[k + 1]].tobytes(), t[cut[k] : cut[k + 1]].tobytes()
@@ -113,7 +116,7 @@ def _passages(b: pa.RecordBatch, wide, overlap: bool):
     """Passage number within the batch, word, document and place of each occurrence (once or twice); passages are in order."""
     terms = np.frombuffer(b"".join(b.column("terms").to_pylist()), wide).astype(np.int64)
     sizes = np.array([len(x) // wide().itemsize for x in b.column("terms").to_pylist()], np.int64)
-    gap = np.frombuffer(b"".join(b.column("gaps").to_pylist()), np.uint16).astype(np.int64)
+    gap = np.frombuffer(b"".join(b.column("gaps").to_pylist()), np.uint32).astype(np.int64)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     run = np.cumsum(gap)
     start = np.cumsum(sizes) - sizes
@@ -135,12 +138,6 @@ def _rows(terms, number, informative):
     return key // v, key % v, n.astype(np.float32)
 
 
-def _small(batches, limit=512):
-    for b in batches:
-        for at in range(0, b.num_rows, limit):
-            yield b.slice(at, limit)
-
-
 def _blocks(total: np.ndarray):
     for k in range(0, len(total), BLOCK):
         yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([total[k : k + BLOCK].tobytes()], pa.binary())], ["block", "x"])
@@ -173,7 +170,7 @@ def _df(bench: Bench):
 
     def run(batches):
         total = np.zeros((v, 1))
-        for b in _small(batches):
+        for b in small(batches, DOCS):
             terms, _, _, number, _ = _passages(b, wide, False)
             _, t, _ = _rows(terms, number, informative)
             total[:, 0] += np.bincount(t, minlength=v)
@@ -188,7 +185,7 @@ def _gram_times(bench: Bench, idf: np.ndarray, q: np.ndarray):
 
     def run(batches):
         total = np.zeros((v, q.shape[1]))
-        for b in _small(batches):
+        for b in small(batches, DOCS):
             terms, _, _, number, _ = _passages(b, wide, False)
             row, t, n = _rows(terms, number, informative)
             if not len(row):
@@ -235,7 +232,7 @@ def _prefixes(bench: Bench, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         t, n = np.unique(s, return_counts=True)
         order = np.lexsort((t, -idf[t], bench.common[t]))
         before = np.cumsum(n[order]) - n[order]
-        t = t[order][(len(s) - before >= MIN_LCS * len(s)) & (~bench.common[t]).any()]
+        t = t[order][:1] if bench.common[t].all() else t[order][len(s) - before >= MIN_LCS * len(s)]
         word.append(t)
         piece.append(np.full(len(t), k))
     word, piece = np.concatenate(word), np.concatenate(piece)
@@ -243,6 +240,13 @@ def _prefixes(bench: Bench, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(word[order], np.arange(len(idf) + 1)), piece[order]
 
 
+def _verbatim(piece: np.ndarray, words: np.ndarray, place: np.ndarray) -> bool:
+    """Whether the piece stands in the words, one right after the other."""
+    n = len(piece)
+    at = np.flatnonzero(words[: len(words) - n + 1] == piece[0]) if n <= len(words) else np.zeros(0, int)
+    return any(place[i + n - 1] - place[i] == n - 1 and np.array_equal(words[i : i + n], piece) for i in at)
+
+
 def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
     wide, informative, q = bench.wide, ~bench.common, q.astype(np.float32)
     items = bench.matrix(idf) @ q
@@ -253,13 +257,15 @@ def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
     # a word number of v is of no passage
     words, answers = _padded(bench.seqs, v), _padded(bench.answer, v)
     lengths, n_answers = np.array([len(s) for s in bench.seqs]), np.array([len(a) for a in bench.answer])
+    plain = np.array([bench.common[s].all() for s in bench.seqs])
+    least = np.where(plain, 1.0, MIN_LCS)
     start, under = _prefixes(bench, idf)
     chunk = int(min(4096, max(16, CELLS // max(v, len(items)))))
     # pairs whose words are looked up at a time
     most = max(1, CELLS // words.shape[1])
 
     def run(batches):
-        for b in _small(batches):
+        for b in small(batches, DOCS):
             found: list[tuple] = []
             terms, doc, place, number, base = _passages(b, wide, True)
             # each occurrence is of the passage that starts at or before it, and of the one before that
@@ -268,9 +274,9 @@ def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
             every, term, times = _rows(t2, n2, np.ones(v, bool))
             some = informative[term]
             row, t, n = every[some], term[some], times[some]
-            if len(row):
+            if len(every):
                 w = n * idf[t]
-                rows = row[np.flatnonzero(np.diff(row, prepend=-1))]
+                rows = every[np.flatnonzero(np.diff(every, prepend=-1))]
                 for at in range(0, len(rows), chunk):
                     part = rows[at : at + chunk]
                     x, y = np.searchsorted(every, [part[0], part[-1] + 1])
@@ -290,7 +296,7 @@ def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
                         i = np.repeat(r[lo:hi], m)
                         i, k = np.divmod(np.unique(i * len(items) + k), len(items))
                         # no subsequence is longer than the number of the piece's words that the passage has
-                        ok = has[i[:, None], words[k]].sum(1) >= MIN_LCS * lengths[k]
+                        ok = has[i[:, None], words[k]].sum(1) >= least[k] * lengths[k]
                         i, k = i[ok], k[ok]
                         ok = has[i[:, None], answers[k]].sum(1) >= MIN_ANSWER * n_answers[k]
                         pairs.append(i[ok] * len(items) + k[ok])
@@ -299,9 +305,10 @@ def _search(bench: Bench, idf: np.ndarray, q: np.ndarray):
                         r = part[i]
                         lo, hi = np.searchsorted(number, [r, r + 2])
                         d = doc[lo]
-                        window = terms[lo:hi][(doc[lo:hi] == d) & (place[lo:hi] < (r - base[d] + 2) * STEP)]
+                        inside = (doc[lo:hi] == d) & (place[lo:hi] < (r - base[d] + 2) * STEP)
+                        window = terms[lo:hi][inside]
                         share = lcs(seqs[k], window.tolist()) / len(seqs[k])
-                        if share >= MIN_LCS:
+                        if share >= least[k] and (not plain[k] or _verbatim(bench.seqs[k], window, place[lo:hi][inside])):
                             x, y = np.searchsorted(row, [r, r + 1])
                             z = w[x:y] @ q[t[x:y]]
                             c = z @ items[k] / max(np.linalg.norm(z), 1e-9)
@@ -334,15 +341,14 @@ def subspace(table: DataFrame, bench: Bench, rank: int = RANK) -> tuple[np.ndarr
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """One row per leaked (doc_id, item_id): the first place (in words) and the greatest cosine and share of the item found."""
     spark = docs.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct().orderBy("item_id", "text")
-    got = [(r["item_id"], r["text"]) for r in items.toLocalIterator()]
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct().orderBy("item_id", "text").toLocalIterator()
     out = None
-    for at in range(0, len(got), ITEMS):
-        bench = Bench([i for i, _ in got[at : at + ITEMS]], [t for _, t in got[at : at + ITEMS]])
-        if not bench.seqs or bench.common.all():
+    while got := [(r["item_id"], r["text"]) for r in itertools.islice(items, ITEMS)]:
+        bench = Bench([i for i, _ in got], [t for _, t in got])
+        if not bench.seqs:
             continue
         scratch = Scratch(spark)
-        of = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        of = text_batches(docs).where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         table = scratch.keep(of.mapInArrow(_occurrences(bench), "d long, gaps binary, terms binary"), "words")
         idf, q = subspace(table, bench, rank)
         hits = table.mapInArrow(_search(bench, idf, q), FOUND).groupBy("doc_id", "item_id").agg(F.min("place").alias("place"), F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs")).checkpoint()
@@ -353,5 +359,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
 
 def decontaminate_stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    gone = leaks(docs, benchmark).select(F.col("doc_id").alias("__leak_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__leak_id"), "left_anti")
+    return docs.join(leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .spans import Packed, Table, U, ragged, slices, small
+from .store import text_batches
 
 GRAMS = (5, 4, 3, 2, 1)
 MIN_MARGIN = 0.05
@@ -175,7 +176,7 @@ def identify(docs: DataFrame, model: Model | None = None, min_margin: float = MI
             lang, margin = model.predict(b.column(1).to_pylist(), min_margin)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(margin), pa.array([x != UNKNOWN for x in lang], pa.bool_())], ["doc_id", "language", "margin", "keep"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, language string, margin double, keep boolean")
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, language string, margin double, keep boolean")
 
 
 def language_stage(docs: DataFrame, model: Model | None = None, min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -187,4 +188,4 @@ def language_stage(docs: DataFrame, model: Model | None = None, min_margin: floa
             lang, _ = model.predict(b.column(at).to_pylist(), min_margin)
             yield b.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return text_batches(docs).mapInArrow(run, docs.schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .spans import Packed, U, mix, ragged, shingles, slices, small
-from .store import Scratch
+from .store import Scratch, text_batches
 
 SHINGLE, BANDS, ROWS = 3, 96, 5
 M = 360
@@ -237,7 +237,7 @@ def _verifier(threshold: float):
 
 class _Run:
     def __init__(self, docs: DataFrame, threshold: float):
-        self.docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("d"), "text")
+        self.docs = text_batches(docs).where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("d"), "text")
         self.spark, self.scratch, self.threshold = docs.sparkSession, Scratch(docs.sparkSession), threshold
 
     def of(self, rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:

@@ -27,6 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+ARROW_ROWS = 1024
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, after telling the session to send texts to Python in batches of ``ARROW_ROWS`` rows, not Spark's 10,000:
+    whole texts may be long, and both sides hold a batch at a time. A session with a setting of its own keeps it."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(key)) == 10_000:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
 class Scratch:
     """Tables of one operator run, below the shared folder. What a result still reads when the operator returns goes when the driver ends."""
 
