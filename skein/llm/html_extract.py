@@ -25,8 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .spans import small
+from .store import text_batches
+
 #: Bound on the pages fitted on (those of least hashed page_id).
 TRAIN_PAGES = 400
+#: Blocks, padding included, that are labelled or trained on at a time; a longer page is a group of its own.
+CELLS = 1 << 15
 TAG_DIM, WORD_DIM, HIDDEN, EPOCHS, BATCH = 16, 16, 16, 8, 32
 DIM = TAG_DIM + WORD_DIM + 5
 
@@ -194,7 +199,7 @@ class Model:
         size = np.array([len(s) for s in seqs])
         for _ in range(epochs):
             order = np.argsort(size + rng.random(len(size)) * 8, kind="stable")
-            groups = [order[k : k + BATCH] for k in range(0, len(order), BATCH)]
+            groups = list(grouped(order, size, BATCH))
             for k in rng.permutation(len(groups)):
                 x, mask = self.pad([seqs[i] for i in groups[k]])
                 y = np.zeros(mask.shape, np.float32)
@@ -220,15 +225,28 @@ class Model:
         if not self.trained:
             return [np.ones(len(s), bool) for s in seqs]
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(seqs)
-        order = [i for i in np.argsort([len(s) for s in seqs], kind="stable") if len(seqs[i])]
-        for k in range(0, len(order), 64):
-            group = order[k : k + 64]
+        size = np.array([len(s) for s in seqs], np.int64)
+        for group in grouped([i for i in np.argsort(size, kind="stable") if size[i]], size, 64):
             p, _ = self.probabilities(*self.pad([seqs[i] for i in group]))
             for r, i in enumerate(group):
                 out[i] = p[r, : len(seqs[i])] >= 0.5
         return out
 
 
+def grouped(order, size: np.ndarray, most: int):
+    """Groups of up to ``most`` successive pages, ordered by size, of ``CELLS`` blocks at most as padded."""
+    group: list[int] = []
+    longest = 0
+    for i in order:
+        longest = max(longest, int(size[i]))
+        if group and (len(group) == most or longest * (len(group) + 1) > CELLS):
+            yield group
+            group, longest = [], int(size[i])
+        group.append(int(i))
+    if group:
+        yield group
+
+
 def train(pages: list[str]) -> Model:
     seqs, labels = [], []
     for page in pages:
@@ -255,8 +273,7 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for part in small([b]):
                 found = [blocks(h) for h in part.column(1).to_pylist()]
                 kept = model.label([vectors(f) for f in found])
                 text = ["\n".join(t for (_, _, t), k in zip(f, ks) if k) for f, ks in zip(found, kept)]
@@ -265,4 +282,4 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
                     ["page_id", "text", "n_blocks", "n_content"],
                 )
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, "page_id long, text string, n_blocks int, n_content int")
+    return text_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, "page_id long, text string, n_blocks int, n_content int")
