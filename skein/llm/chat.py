@@ -8,8 +8,9 @@ for each turn, what its prefix's output still has in common with the next one's,
 part has gone has none.
 
 Nulls, ties, extremes: turns are ordered by turn, then role, then text, nulls first; repeated rows
-are kept as turns of their own; a null role or text is rendered as empty; rows with a null conv_id
-form one conversation; an empty table gives an empty result. Other columns are not read. Positions
+are kept as turns of their own; a null role or text is rendered as empty; a row with a null conv_id
+is a conversation of one turn; a template that cannot render a conversation of no turns gives nothing for it, so that
+what it puts in front belongs to the first turn; an empty table gives an empty result. Other columns are not read. Positions
 count characters (code points) from 0, ends excluded.
 """
 
@@ -21,6 +22,9 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .spans import small
+from .store import text_batches
+
 Template = Callable[[list[tuple[str, str]]], str]
 
 
@@ -28,10 +32,18 @@ def chatml(turns: list[tuple[str, str]]) -> str:
     return "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in turns)
 
 
+def _opening(template: Template) -> str:
+    """What the template says before any turn."""
+    try:
+        return template([])
+    except Exception:  # noqa: BLE001  a black box may refuse an empty conversation in any way
+        return ""
+
+
 def render(turns: list[tuple[str, str]], template: Template) -> tuple[str, list[tuple[int, int] | None], int | None]:
     """The whole rendering, each turn's span in it, and the first turn that rewrote history."""
     spans: list[tuple[int, int] | None] = []
-    before, rewrote = template([]), None
+    before, rewrote = _opening(template), None
     for k in range(len(turns)):
         now = template(turns[: k + 1])
         if now.startswith(before):
@@ -63,11 +75,12 @@ _SPANS = pa.list_(pa.struct([("turn", pa.int64()), ("role", pa.string()), ("star
 def format_chats(conversations: DataFrame, template: Template = chatml) -> DataFrame:
     """One row per conversation: conv_id, n_turns, text, spans (in turn order; start and stop null where the
     turn's part is gone), rewrites_at (place of the first turn that rewrote history, else null)."""
-    turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct(F.col("turn").cast("long").alias("turn"), "role", "text").alias("t"))
-    lists = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    turns = text_batches(conversations).select(F.col("conv_id").cast("long").alias("conv_id"), F.struct(F.col("turn").cast("long").alias("turn"), "role", "text").alias("t"))
+    lists = turns.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    lists = lists.union(turns.where("conv_id is null").select("conv_id", F.array("t").alias("ts")))
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts, spans, rewrites, sizes = [], [], [], []
             for ts in b.column(1).to_pylist():
                 text, at, rewrote = render([(t["role"] or "", t["text"] or "") for t in ts], template)
