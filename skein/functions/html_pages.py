@@ -21,8 +21,10 @@ class ParseError(ValueError):
 
 def canonical(url: str | None, base: str | None = None) -> str | None:
     """Absolute http(s) URL without tracking parameters, fragment and trailing slash; None otherwise."""
+    if not (url or "").strip():
+        return None
     try:
-        p = urlsplit(urljoin(base or "", (url or "").strip()))
+        p = urlsplit(urljoin(base or "", url.strip()))
     except ValueError:
         return None
     if p.scheme.lower() not in ("http", "https") or not p.netloc:
@@ -39,16 +41,29 @@ def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1].lower()
 
 
+def _salvaged(content: bytes) -> list:
+    """The whole entries of a broken feed that are sound by themselves."""
+    text, found = content.decode("utf-8", "replace"), []
+    for m in re.finditer(r"<(item|entry)\b[^>]*>(.*?)</\1\s*>", text, re.S | re.I):
+        plain = re.sub(r"(</?)[A-Za-z][\w.-]*:", r"\1", m.group(2))  # without prefixes, whose names were declared further up
+        plain = re.sub(r"\s[A-Za-z][\w.-]*:([\w.-]+=)", r" \1", plain)
+        try:
+            found.append(ElementTree.fromstring(f"<item>{plain}</item>"))
+        except ElementTree.ParseError:
+            continue
+    return found
+
+
 def parse_rss(content: bytes, base: str | None = None) -> list[dict]:
     """RSS or Atom entries with title and link; raises only if the feed is broken and holds none."""
     out: list[dict] = []
     try:
-        root = ElementTree.fromstring(content)
+        entries = [n for n in ElementTree.fromstring(content).iter() if _local(n.tag) in ("item", "entry")]
     except ElementTree.ParseError as e:
-        raise ParseError(str(e)) from e
-    for node in root.iter():
-        if _local(node.tag) not in ("item", "entry"):
-            continue
+        entries = _salvaged(content)
+        if not entries:
+            raise ParseError(str(e)) from e
+    for node in entries:
         got: dict[str, str] = {}
         tags: list[str] = []
         for x in node:
@@ -96,24 +111,29 @@ def parse_json(content: bytes, settings: dict | None = None, base: str | None =
 
 
 class _Links(HTMLParser):
+    """Anchors with their text; one that is not closed ends where the next begins."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, str]] = []
-        self.href: str | None = None
-        self.text: list[str] = []
+        self.found: list[tuple[str, list[str]]] = []
+        self.inside = False
 
     def handle_starttag(self, tag, attrs):
         if tag == "a":
-            self.href, self.text = dict(attrs).get("href"), []
+            target = next((v for k, v in attrs if k == "href" and v), None)
+            self.inside = target is not None
+            if target is not None:
+                self.found.append((target, []))
+
+    def handle_endtag(self, tag):
+        self.inside = self.inside and tag != "a"
 
     def handle_data(self, data):
-        if self.href is not None:
-            self.text.append(data)
+        if self.inside:
+            self.found[-1][1].append(data)
 
-    def handle_endtag(self, tag):
-        if tag == "a" and self.href is not None:
-            self.found.append((self.href, " ".join("".join(self.text).split())))
-            self.href = None
+    def anchors(self) -> list[tuple[str, str]]:
+        return [(target, " ".join("".join(parts).split())) for target, parts in self.found]
 
 
 def allowed(url: str, domains) -> bool:
@@ -126,7 +146,7 @@ def links(page: str | bytes | None, base: str | None = None, domains=()) -> list
     p = _Links()
     p.feed(page.decode("utf-8", "replace") if isinstance(page, bytes) else page or "")
     out: dict[str, dict] = {}
-    for href, text in p.found:
+    for href, text in p.anchors():
         if not href or href.startswith("#") or re.match(r"(?:mailto|javascript|tel|data):", href, re.I):
             continue
         url = canonical(href, base)

@@ -44,6 +44,17 @@ def clean_title(c: Column, sites: tuple[str, ...] = ()) -> Column:
     return F.trim(F.regexp_replace(out, r"[\s:\|\-–—]+$", ""))
 
 
+#: Publishers whose name may stand at the end of a headline.
+PUBLISHERS = tuple(sorted("ABC News|AP|Al Jazeera|Axios|BBC World|BBC|Bloomberg|CBS News|CNBC|CNN|DW|Euronews|FT|Financial Times|Forbes|France24|Global Times|Guardian|Independent|Los Angeles Times|NBC News|NPR|Newsweek|Nikkei Asia|Politico|Reuters|SCMP|Sky News|South China Morning Post|TechCrunch|The Economist|The Guardian|The Hill|The Independent|The Japan Times|The Times of India|The Verge|The Wall Street Journal|The Washington Post|Time|USA Today|WSJ|Wired".split("|"), key=lambda x: (-len(x), x)))
+
+
+def clean_headline(c: Column, publishers: tuple[str, ...] = PUBLISHERS) -> Column:
+    """A title without its publisher at the end and a Live, Watch, Video, Update, Breaking or Flash at the start, its first letter a capital."""
+    out = F.regexp_replace(collapse(unescape(c)), r"(?i)\s*[-–—|]\s*(?:" + "|".join(map(escape, publishers)) + ")$", "")
+    out = collapse(F.regexp_replace(out, r"(?i)^(?:Breaking|Flash|Live|Update|Video|Watch)[:\s-]+\s*", ""))
+    return F.concat(F.upper(F.substring(out, 1, 1)), F.substr(out, F.lit(2)))
+
+
 def clean_author(c: Column) -> Column:
     return F.nullif(F.regexp_replace(collapse(c), r"^(?i:by)\s+", ""), F.lit(""))
 
@@ -102,6 +113,15 @@ def is_valid_url(c: Column) -> Column:
     return F.coalesce(F.lower(c).rlike(r"^https?://[^/?#\s]+"), F.lit(False))
 
 
+def non_article_url(c: Column, segments: tuple[str, ...], hosts: tuple[str, ...] = ()) -> Column:
+    """Whether a URL is missing, of a host that only redirects, or has a path segment of a video, live or listing page ("news" is never one)."""
+    path = F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1))
+    own = F.filter(F.split(path, "/"), lambda x: (x != "") & (x != "news"))
+    blocked = F.array(*[F.lit(x.strip().lower()) for x in segments if x.strip()]).cast("array<string>")
+    wrapper = F.regexp_replace(url_host(c), r":\d+$", "").isin(*hosts) if hosts else F.lit(False)
+    return F.coalesce(c, F.lit("")).eqNullSafe("") | F.coalesce(wrapper | F.arrays_overlap(own, blocked), F.lit(False))
+
+
 def canonicalize_url(c: Column) -> Column:
     """http(s) only: lower-case scheme and host, no trailing slash, no tracking parameters, no fragment."""
     bare = F.regexp_replace(F.trim(c), "#.*$", "")

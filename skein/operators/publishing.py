@@ -5,6 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.fetching import Robots, Rules, fetch_article
+
 FRESH_HOURS, RETENTION_HOURS, MARGIN_HOURS = 6.0, 48.0, 6.0
 PER_HOUR, PER_DAY, MISSING_HOURS = 40, 150, 12.0
 
@@ -114,6 +116,12 @@ def publish_step(due: DataFrame, queue: DataFrame, now: Column, max_attempts: in
     return both.withColumn("fate", fate).withColumn("attempts", F.when(F.col("fate").isin("failed", "retry"), F.col("attempts") + 1).otherwise(F.col("attempts"))).drop("__there")
 
 
+def scheduler_order(df: DataFrame, most: int | None = None) -> DataFrame:
+    """Candidates for the schedule: important ones first, then by priority score and youth; with ``most``, the first that many."""
+    out = df.orderBy(~F.coalesce(important(df), F.lit(False)), F.desc(F.coalesce("priority_score", F.lit(0.0))), F.coalesce("age_minutes", F.lit(0.0)), "story_id")
+    return out if most is None else out.limit(most)
+
+
 def due_order(df: DataFrame, now: Column) -> DataFrame:
     return df.where(F.col("scheduled_at") <= now).orderBy("scheduled_at", "story_id")
 
@@ -147,21 +155,27 @@ def enrichment_plan(stories: DataFrame, cache: DataFrame, now: Column, budget: i
     return both.join(misses, "story_id", "left").withColumn("plan", plan).drop("__need", "__go")
 
 
-def enriched(plan: DataFrame, fetcher) -> DataFrame:
-    """Run the planned fetches on the executors: story_id, fetch_status, article_text. ``fetcher(url)`` gives HTML bytes or raises."""
-    from ..functions.html_pages import article_text
+def enriched(plan: DataFrame, get, rules: Rules, resolve) -> DataFrame:
+    """Run the planned fetches on the executors: story_id, fetch_status, article_text. ``get(url)`` gives an ``Answer`` or raises, ``resolve(host)`` its addresses."""
 
     def run(batches):
+        robots = Robots(get)
         for pdf in batches:
-            out = []
-            for s, u in zip(pdf["story_id"], pdf["url"]):
-                try:
-                    page = fetcher(u)
-                    out.append((s, *article_text(page.decode("utf-8", "replace") if isinstance(page, bytes) else page)))
-                except TimeoutError:
-                    out.append((s, "timeout", ""))
-                except Exception:
-                    out.append((s, "network_error", ""))
-            yield pd.DataFrame(out, columns=["story_id", "fetch_status", "article_text"])
+            got = [fetch_article(u, get, rules, resolve, robots)[:2] for u in pdf["url"]]
+            yield pd.DataFrame({"story_id": pdf["story_id"], "fetch_status": [s for s, _ in got], "article_text": [t for _, t in got]})
 
     return plan.where("plan = 'fetch'").select("story_id", "url").mapInPandas(run, "story_id string, fetch_status string, article_text string")
+
+
+def with_partners(plan: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Adds article_text and text_from to stories: their own page, else that of the best other member of their group, else none."""
+    ok = fetched.where("fetch_status = 'ok'").select("story_id", "article_text")
+    members = plan.select("story_id", "group_id", "queue_rank").join(ok, "story_id")
+    best = members.groupBy("group_id").agg(F.min_by(F.struct(F.col("story_id").alias("other"), F.col("article_text").alias("text")), F.struct("queue_rank", "story_id")).alias("b"))
+    both = plan.join(ok, "story_id", "left").join(best, "group_id", "left")
+    return both.withColumn("text_from", F.when(F.col("article_text").isNotNull(), F.col("story_id")).otherwise(F.col("b.other"))).withColumn("article_text", F.coalesce("article_text", F.col("b.text"))).drop("b")
+
+
+def extraction_counts(fetched: DataFrame) -> DataFrame:
+    """How many pages came to each status."""
+    return fetched.groupBy("fetch_status").agg(F.count("*").alias("n"))

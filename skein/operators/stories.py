@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import headlines as H
+from ..functions import rows as R
 from ..functions import sentences as S
 from ..functions import text as T
 from .events import components
@@ -114,7 +115,7 @@ def summarize(groups: DataFrame, least: int = 2, most: int = 4) -> DataFrame:
 
     @F.pandas_udf(SUMMARY)
     def run(headlines: pd.Series, rows: pd.Series) -> pd.DataFrame:
-        got = [S.summarize(h or "", [dict(r) for r in (rs if rs is not None else [])], least, most) for h, rs in zip(headlines, rows)]
+        got = [R.summarize(h or "", [dict(r) for r in (rs if rs is not None else [])], least, most) for h, rs in zip(headlines, rows)]
         return pd.DataFrame(got, columns=["sentences", "status", "problems", "candidates"])
 
     return groups.withColumn("summary", run("headline", "rows"))
@@ -135,21 +136,50 @@ def briefing(summaries: DataFrame) -> DataFrame:
     return out.withColumn("corroborating", F.when(F.size(sources) > 1, F.slice(sources, 2, 1 << 20)).otherwise(F.array().cast("array<string>")))
 
 
-def message(headline: Column, label: Column, opening: Column, body: Column, source: Column, url: Column, most: int = 3000) -> Column:
-    """HTML message; null with fewer than two sentences. Over the limit, sentences are dropped from the end down to two."""
-    def render(body_: Column) -> Column:
-        lines = F.array_compact(F.array(F.concat(F.lit("<b>"), label, F.lit(" | "), T.escape_html(headline), F.lit("</b>")), T.escape_html(F.array_join(opening, " ")), F.nullif(T.escape_html(F.array_join(body_, " ")), F.lit("")), F.concat(F.lit("Source: "), T.escape_html(source)), F.concat(F.lit('<a href="'), T.escape_html_attr(url), F.lit('">Read more</a>'))))
-        return F.array_join(lines, "\n\n")
+def message(headline: Column, label: Column, sentences: Column, source: Column, url: Column, most: int = 3000) -> Column:
+    """HTML message: label, headline, one paragraph, source and link; null with fewer than two sentences. Over the
+    limit, sentences go from the end down to two, and then the paragraph is cut at a sentence or a character."""
+    lines = lambda paragraph: F.array_join(
+        F.array_compact(
+            F.array(
+                F.nullif(T.escape_html(label), F.lit("")), F.concat(F.lit("<b>"), T.escape_html(headline), F.lit("</b>")), paragraph,
+                F.concat(F.lit("\U0001f4f0 Source: "), T.escape_html(F.coalesce(source, F.lit("Unknown")))), F.concat(F.lit('\U0001f517 <a href="'), T.escape_html_attr(url), F.lit('">Read the full report</a>')),
+            )
+        ),
+        "\n\n",
+    )
+    with_n = lambda n: lines(T.escape_html(F.array_join(F.slice(sentences, 1, n), " ")))
 
-    whole = render(body)
-    short = render(F.array().cast("array<string>"))
-    one = render(F.slice(body, 1, 1))
-    fit = F.when(T.visible_length(whole) <= most, whole).when(T.visible_length(one) <= most, one).otherwise(short)
-    return F.when(F.size(opening) >= 2, fit)
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: S.safe_truncate(t, most) if t and R.visible(t) > most else t)
+
+    fit = F.when(T.visible_length(with_n(4)) <= most, with_n(4)).when(T.visible_length(with_n(3)) <= most, with_n(3)).when(T.visible_length(with_n(2)) <= most, with_n(2))
+    return F.when(F.size(sentences) >= 2, fit.otherwise(lines(cut(T.escape_html(F.array_join(F.slice(sentences, 1, 2), " "))))))
+
+
+def fallback_messages(items: DataFrame, most: int = 3000) -> DataFrame:
+    """(story_id, message) for stories without a briefing: the useful sentences of their summary in the same form; null with fewer than two."""
+
+    @F.pandas_udf("array<string>")
+    def useful(summaries: pd.Series, headlines: pd.Series) -> pd.Series:
+        return pd.Series([R.explanatory(S.split(s), h) for s, h in zip(summaries, headlines)])
+
+    found = items.withColumn("__h", T.clean_headline(F.col("headline"))).withColumn("__s", useful("summary", "__h"))
+    return found.select("story_id", message(F.col("__h"), F.col("label"), F.col("__s"), F.col("source"), F.col("url"), most).alias("message"))
+
+
+def summary_counts(summaries: DataFrame) -> DataFrame:
+    """How many groups each outcome had, with the candidate rows and the faults found."""
+    return summaries.groupBy(F.col("summary.status").alias("status")).agg(F.count("*").alias("groups"), F.sum("summary.candidates").alias("candidates"), F.sum(F.size("summary.sentences")).cast("long").alias("sentences"), F.sum(F.size("summary.problems")).cast("long").alias("faults"))
+
+
+def fault_counts(summaries: DataFrame) -> DataFrame:
+    return summaries.select(F.explode("summary.problems").alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
 
 
 def bullets(rows: Column) -> Column:
     """Location, status, impact and next steps: the first sentence for each."""
-    find = lambda p: F.filter(rows, lambda r: r["text"].rlike(p))[0]["text"]
+    find = lambda p: F.get(F.filter(rows, lambda r: r["text"].rlike(p)), F.lit(0))["text"]
     made = [(label, find(p)) for label, p in (("Location", r"\b(?:in|at|near)\s+\p{Lu}"), ("Status", r"(?i)\b(?:confirmed|ongoing|suspended|approved|rescue|under way|underway)\b"), ("Impact", r"(?i)\b(?:killed|injured|damaged|evacuated|displaced|affected)\b"), ("Next", r"(?i)\b(?:will|expected to|scheduled|next week|tomorrow)\b"))]
     return F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("label"), v.alias("text"))) for k, v in made]))

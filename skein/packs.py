@@ -34,6 +34,8 @@ class Pack:
     relevance: dict[str, list[str]] = field(default_factory=dict)
     relevance_weights: dict[str, float] = field(default_factory=dict)
     false_positives: list[str] = field(default_factory=list)
+    geo_false_positives: list[str] = field(default_factory=list)
+    union_territories: list[str] = field(default_factory=list)
     categories: list[Category] = field(default_factory=list)
     generic_words: list[str] = field(default_factory=list)
     states: dict[str, list[str]] = field(default_factory=dict)
@@ -70,6 +72,19 @@ class Pack:
         return sorted(out)
 
 
+def relevance_groups(core=(), institutions=(), figures=(), companies=(), places=(), context=(), markers=(), home=(), not_core=(), weak=("national",)) -> dict[str, list[str]]:
+    """Groups of relevance terms that share none where it matters. Context terms that name the home country, or hold one of its
+    names, are specific; the others are general. Markers are significant only if no other group has them, weak ones never."""
+    terms = lambda *lists: {" ".join(t.lower().split()) for ts in lists for t in ts if t and t.strip()}
+    names = terms(home)
+    own = (terms(core) - terms(not_core)) | names
+    around = terms(context)
+    specific = {t for t in around if any(n in t for n in names)}
+    inst, fig = terms(institutions), terms(figures)
+    out = {"core": own, "institution": inst, "figure": fig, "company": terms(companies), "geo": terms(places), "significance": terms(markers) - inst - fig - around - terms(weak), "specific_intl": specific, "intl": around - specific}
+    return {k: sorted(v) for k, v in out.items() if v}
+
+
 def deep_merge(base: dict, over: dict) -> dict:
     """``over`` on top of ``base``, dictionaries within dictionaries merged alike."""
     out = dict(base)
@@ -96,7 +111,10 @@ def load(path: str | Path) -> Pack:
 DEMO = Pack(
     relevance={"core": ["the"], "institution": ["with"], "figure": ["und"], "company": ["idiot"], "geo": ["from", "der"], "significance": ["which"], "intl": ["this", "les"], "specific_intl": ["est"]},
     relevance_weights={"core": 20, "institution": 25, "figure": 20, "company": 25, "geo": 12, "significance": 25, "intl": 15, "specific_intl": 25},
-    categories=[Category("articles", ["the", "der", "la"], 1.0), Category("relations", ["of", "von", "de"], 1.25), Category("joins", ["and", "und", "et"], 0.8), Category("world", ["this", "ist", "est"], 1.1, True), Category("rude", ["idiot", "moron", "clown"], 1.4)],
+    false_positives=["of the", "mit der"],
+    geo_false_positives=["was in"],
+    union_territories=["east"],
+    categories=[Category("articles", ["the", "der", "la"], 1.0), Category("relations", ["of", "von", "de"], 1.25), Category("joins", ["and", "und", "et"], 0.8), Category("world", ["this", "ist", "est"], 1.1, True), Category("doings", ["report", "start", "of the", "the"], 0.9), Category("rude", ["idiot", "moron", "clown"], 1.4)],
     generic_words=["the", "de"],
     states={"north": ["in"], "south": ["was"], "east": ["die"]},
     cities={"are": "north", "zu": "east"},

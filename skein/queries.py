@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .functions import html_pages as H
 from .functions import sentences as SE
@@ -14,6 +15,7 @@ from .operators import events as E
 from .operators import publishing as P
 from .operators import scoring as S
 from .operators import stories as ST
+from .streaming import publisher as PUB
 from .packs import DEMO, Pack
 from .plans import pipeline
 from .sources import feeds, sinks
@@ -42,9 +44,18 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- SQL pieces ----------------------------------------------------------------------------
 
 
-def sql_has(column: str, terms) -> str:
+def sql_has(column: str, terms, endings: str = "") -> str:
     body = "|".join(T.escape(t.lower()) for t in sorted(terms, key=lambda t: (-len(t), t)))
-    return rf"regexp_matches(lower({column}), '(^|[^\p{{L}}\p{{N}}_])({body})($|[^\p{{L}}\p{{N}}_])')"
+    return rf"regexp_matches(lower({column}), '(^|[^\p{{L}}\p{{N}}_])({body}){endings}($|[^\p{{L}}\p{{N}}_])')"
+
+
+def sql_without(column: str, phrases) -> str:
+    """The column without false-positive phrases; twice, as neighbours share the character between them."""
+    body = "|".join(T.escape(t.lower()) for t in sorted(phrases, key=lambda t: (-len(t), t)))
+    out = f"lower({column})"
+    for _ in range(2 if phrases else 0):
+        out = rf"regexp_replace({out}, '(^|[^\p{{L}}\p{{N}}_])({body})($|[^\p{{L}}\p{{N}}_])', '\1' || chr(1) || '\3', 'g')"
+    return out
 
 
 def sql_any(columns, terms) -> str:
@@ -55,8 +66,8 @@ def sql_n(column: str, terms) -> str:
     return "(" + " + ".join(f"CASE WHEN {sql_has(column, [t])} THEN 1 ELSE 0 END" for t in terms) + ")" if terms else "0"
 
 
-def sql_sum(column: str, weights: dict[str, float]) -> str:
-    return "(" + " + ".join(f"CASE WHEN {sql_has(column, [t])} THEN {float(w)} ELSE 0.0 END" for t, w in weights.items()) + ")"
+def sql_sum(column: str, weights: dict[str, float], endings: str = "") -> str:
+    return "(" + " + ".join(f"CASE WHEN {sql_has(column, [t], endings)} THEN {float(w)} ELSE 0.0 END" for t, w in weights.items()) + ")"
 
 
 def sql_max(column: str, weights: dict[str, float]) -> str:
@@ -74,7 +85,7 @@ ART = r"""art AS (
 
 
 def sql_relevance(p: Pack) -> str:
-    n = {(g, c): sql_n(c, t) for g, t in p.relevance.items() for c in ("title", "summary")}
+    n = {(g, c): sql_n(f"r{c}", t) for g, t in p.relevance.items() for c in ("title", "summary")}
     cols = ",\n".join(f"{v} AS {g}_{c}" for (g, c), v in n.items())
     some = lambda g: f"({g}_title + {g}_summary > 0)"
     anchor = " OR ".join(some(g) for g in p.relevance if g != "intl")
@@ -84,21 +95,25 @@ def sql_relevance(p: Pack) -> str:
     strong = " OR ".join(some(g) for g in ("core", "institution", "figure", "company", "significance", "specific_intl") if g in p.relevance)
     states = [t for v in p.states.values() for t in v]
     return rf"""
-    r0 AS (SELECT art.*, {cols} FROM art),
+    rr AS (SELECT art.*, {sql_without("title", p.false_positives)} AS rtitle, {sql_without("summary", p.false_positives)} AS rsummary FROM art),
+    r0 AS (SELECT *, {cols} FROM rr),
     r1 AS (SELECT *, ({anchor}) AS anchor FROM r0),
     r2 AS (SELECT *, {base}
-            + CASE WHEN regexp_matches(lower(title), '^\s*({subject})($|[^\p{{L}}\p{{N}}_])') THEN 35 ELSE 0 END
+            + CASE WHEN regexp_matches(rtitle, '^\s*({subject})($|[^\p{{L}}\p{{N}}_])') THEN 35 ELSE 0 END
             + CASE WHEN {some("intl")} AND anchor THEN 30 ELSE 0 END
             + CASE WHEN significance_title > 0 THEN 20 ELSE 0 END + CASE WHEN specific_intl_title > 0 THEN 20 ELSE 0 END AS raw,
-            CASE WHEN {sql_any(("title", "summary"), states)} THEN 'state' WHEN {some("geo")} THEN 'local' WHEN anchor THEN 'national' ELSE 'unknown' END AS relevance_scope,
+            CASE WHEN {sql_any(("rtitle", "rsummary"), states)} THEN 'state' WHEN {some("geo")} THEN 'local' WHEN anchor THEN 'national' ELSE 'unknown' END AS relevance_scope,
             ({strong}) AS strong FROM r1),
     rel AS (SELECT *, least(100.0, round(raw + 1e-9, 1)) AS relevance FROM r2)"""
 
 
+ENDINGS = "(s|es|ed|ing|d)?"
+
+
 def sql_classify(p: Pack) -> str:
     generic = set(p.generic_words)
     w = {c.id: {t: S.term_weight(t, generic) for t in c.terms} for c in p.categories}
-    cols = ", ".join(f"round({sql_sum('title', v)} + {sql_sum('summary', v)} * 0.6 + 1e-9, 3) AS c_{k}" for k, v in w.items())
+    cols = ", ".join(f"round({sql_sum('title', v, ENDINGS)} + {sql_sum('summary', v, ENDINGS)} * 0.6 + 1e-9, 3) AS c_{k}" for k, v in w.items())
     ids = [c.id for c in p.categories]
     others = " OR ".join(f"c_{k} >= 2.0" for k in ids if k != "world")
     damp = "*, " + f"CASE WHEN {others} THEN round(c_world * 0.6 + 1e-9, 3) ELSE c_world END AS d_world"
@@ -114,15 +129,16 @@ def sql_classify(p: Pack) -> str:
 
 def sql_geo(p: Pack, base: str) -> str:
     city = lambda s: [c for c, x in p.cities.items() if x == s]
-    t = {s: f"({sql_any(['title'], v + city(s))})" for s, v in p.states.items()}
-    e = {s: f"({sql_any(['title', 'summary'], v + city(s))})" for s, v in p.states.items()}
-    direct = sql_any(["title", "summary"], [x for v in p.states.values() for x in v])
+    t = {s: f"({sql_any(['gtitle'], v + city(s))})" for s, v in p.states.items()}
+    e = {s: f"({sql_any(['gtitle', 'gsummary'], v + city(s))})" for s, v in p.states.items()}
+    direct = sql_any(["gtitle", "gsummary"], [x for v in p.states.values() for x in v] + [c for c, s in p.cities.items() if s in p.union_territories])
     count = lambda d: " + ".join(f"CASE WHEN {v} THEN 1 ELSE 0 END" for v in d.values())
     pick = lambda d: "CASE " + " ".join(f"WHEN {v} THEN '{s}'" for s, v in d.items()) + " END"
     return f"""
+    gg AS (SELECT *, {sql_without("title", p.geo_false_positives)} AS gtitle, {sql_without("summary", p.geo_false_positives)} AS gsummary FROM {base}),
     g0 AS (SELECT *, {count(t)} AS nt, {count(e)} AS ne, {pick(t)} AS t1, {pick(e)} AS e1, {direct} AS direct,
-                  {sql_any(["title"], p.national_terms)} AS natt, {sql_any(["title", "summary"], p.national_terms)} AS nat,
-                  {sql_any(["title", "summary"], p.significance_events)} AS ev FROM {base}),
+                  {sql_any(["gtitle"], p.national_terms)} AS natt, {sql_any(["gtitle", "gsummary"], p.national_terms)} AS nat,
+                  {sql_any(["gtitle", "gsummary"], p.significance_events)} AS ev, {sql_any(["title", "summary"], p.significance_events)} AS rawev FROM gg),
     geo AS (SELECT *, CASE WHEN ne >= 2 THEN 'national' WHEN natt AND NOT ev THEN 'national' WHEN direct THEN 'state' WHEN ne > 0 THEN 'local' ELSE 'national' END AS geo_scope,
                   CASE WHEN nt = 1 THEN t1 WHEN nt = 0 AND ne = 1 THEN e1 END AS state, ne >= 2 AS multi_state, ev OR nat OR ne >= 2 AS national_significance FROM g0)"""
 
@@ -141,7 +157,7 @@ def sql_editorial(p: Pack) -> str:
             poison.append(f"l_{g.id} > 0")
     return f"""
     e0 AS (SELECT *, {imp} AS imp, {urgent} AS urgent, {", ".join(f"{v} AS l_{k}" for k, v in largest.items())} FROM geo),
-    e1 AS (SELECT *, coalesce(imp >= 1.2, FALSE) OR urgent OR ev AS strong,
+    e1 AS (SELECT *, coalesce(imp >= 1.2, FALSE) OR urgent OR rawev AS strong,
                   national_significance OR coalesce(imp >= 1.1 AND imp < 1.2, FALSE) OR {sql_any(["title", "summary"], p.major_markers)} AS weak FROM e0),
     e2 AS (SELECT *, round({" + ".join(pen)} + 1e-9, 1) AS editorial_penalty, {" OR ".join(poison) or "FALSE"} AS poison FROM e1),
     e3 AS (SELECT *, round(least(100.0, greatest(0.0, 70.0 - editorial_penalty + CASE WHEN weak OR strong THEN 30.0 ELSE 0.0 END)) + 1e-9, 1) AS editorial_score FROM e2),
@@ -287,30 +303,27 @@ def headline_pairs(spark, sf_dir):
     return a.join(b, "k").where((F.col("a") < F.col("b")) & (E.hours_apart(F.col("ta"), F.col("tb")) <= E.HOURS)).select("a", "b")
 
 
-def event_edges(spark, sf_dir):
-    return E.edges(E.facts(articles(spark, sf_dir), DEMO)).groupBy("a", "b").agg(F.min("how").alias("how"))
-
-
-def event_groups(spark, sf_dir):
+def _events(spark, sf_dir):
     f = E.facts(articles(spark, sf_dir), DEMO).checkpoint()
-    return E.components(f, E.edges(f))
+    return f, E.assign(f).checkpoint()
 
 
-def event_replay(spark, sf_dir):
-    f = E.facts(articles(spark, sf_dir), DEMO).checkpoint()
-    return E.replay(f, E.components(f, E.edges(f)))
+def event_decisions(spark, sf_dir):
+    """Each article's event, how it came to it, and whether it stands for it."""
+    return E.decisions(*_events(spark, sf_dir))
 
 
 def event_summary(spark, sf_dir):
-    f = E.facts(articles(spark, sf_dir), DEMO).checkpoint()
-    one = E.finalize(f, E.components(f, E.edges(f)).select("ord", F.col("root").alias("event")))
+    one = E.finalize(*_events(spark, sf_dir))
     return one.select("event", "event_id", "members", "representative", "first_source", "independent_groups", "is_wire_echo", "confidence", "event_time")
 
 
 def headline_events(spark, sf_dir):
     """Events by equal headline only, finalized."""
     f = E.facts(articles(spark, sf_dir), DEMO)
-    m = f.where("title_key != ''").select("ord", F.min("ord").over(E.Window.partitionBy("title_key")).alias("event"))
+    order = F.row_number().over(Window.partitionBy("title_key").orderBy("published", "source_id", "ord"))
+    m = f.where("title_key != ''").select("ord", F.min("ord").over(Window.partitionBy("title_key")).alias("event"), order.alias("arrival"))
+    m = m.withColumn("relationship", F.when(F.col("arrival") == 1, "new").otherwise("same_headline"))
     return E.finalize(f, m).select("event", "members", "representative", "first_source", "independent_groups", "is_wire_echo", "confidence")
 
 
@@ -339,8 +352,9 @@ def topk_protected(spark, sf_dir):
 
 
 def unseen_events(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    return P.unseen(e.where("event_type = 'purchase'").select("event_id", "user_id"), e.where("event_type = 'error'").select("user_id"), e.where("value > 99").select("user_id"), key="user_id")
+    """Purchases of a user and day that had neither an error nor a value over 99."""
+    e = table(spark, sf_dir, "events").withColumn("story_id", F.concat_ws(" ", "user_id", F.to_date("ts")))
+    return P.unseen(e.where("event_type = 'purchase'").select("event_id", "story_id"), e.where("event_type = 'error'").select("story_id"), e.where("value > 99").select("story_id"))
 
 
 def posted_retention(spark, sf_dir):
@@ -429,13 +443,92 @@ def story_groups(spark, sf_dir):
     return ST.group_stories(_stories(spark, sf_dir))
 
 
-def story_messages(spark, sf_dir):
+def _summaries(spark, sf_dir):
     s = _stories(spark, sf_dir)
-    g = s.join(ST.group_stories(s), "story_id")
-    out = ST.briefing(ST.summarize(ST.aggregate_sentences(g)))
+    g = s.join(ST.group_stories(s), "story_id").checkpoint()
+    return g, ST.summarize(ST.aggregate_sentences(g)).checkpoint()
+
+
+def story_messages(spark, sf_dir):
+    g, summaries = _summaries(spark, sf_dir)
+    out = ST.briefing(summaries)
     head = ST.group_primary(g).select("group_id", F.col("source").alias("first_source"), "url", "priority_score")
     label = ST.public_label(F.col("priority_score"), F.lit(None).cast("string"), F.lit(False), F.lit("medium"), F.lit(False), F.size("corroborating") > 0, F.lit("x"), F.lit(5.0))
-    return out.join(head, "group_id").select("group_id", "summary.status", label.alias("label"), ST.message(F.col("headline"), label, F.col("opening"), F.col("body"), F.col("first_source"), F.col("url")).alias("message"), F.size(ST.bullets(F.col("rows"))).alias("bullets"))
+    text = ST.message(T.clean_headline(F.col("headline")), label, F.concat("opening", "body"), F.col("first_source"), F.col("url"))
+    return out.join(head, "group_id").select("group_id", "summary.status", label.alias("label"), text.alias("message"), F.size(ST.bullets(F.col("rows"))).alias("bullets"))
+
+
+def summary_rows(spark, sf_dir):
+    """The sentences chosen for each group, in order."""
+    _, summaries = _summaries(spark, sf_dir)
+    return summaries.select("group_id", F.posexplode("summary.sentences").alias("place", "s")).select("group_id", "place", "s.text", "s.item_id", "s.composed")
+
+
+def summary_counts(spark, sf_dir):
+    return ST.summary_counts(_summaries(spark, sf_dir)[1])
+
+
+def fallback_messages(spark, sf_dir):
+    return ST.fallback_messages(_stories(spark, sf_dir).withColumn("summary", F.col("text")).withColumn("label", F.lit("NEWS")))
+
+
+def clean_headlines(spark, sf_dir):
+    """Titles behind a prefix and before a publisher's name, taken off again."""
+    before = F.when(F.col("ord") % 3 == 0, F.lit("Live: ")).when(F.col("ord") % 3 == 1, F.lit("watch - ")).otherwise(F.lit(""))
+    after = F.when(F.col("ord") % 2 == 0, F.lit(" - Reuters")).otherwise(F.lit(" | BBC World"))
+    return articles(spark, sf_dir).select("ord", T.clean_headline(F.concat(before, "title", after)).alias("headline"))
+
+
+def non_article_urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.non_article_url(F.col("url"), ("video", "live", "a", "tag"), ("m.example.com",)).alias("non_article"))
+
+
+def article_sentences(spark, sf_dir):
+    """Sentences of the pages' extracted text."""
+    return feeds.article_sentences(feeds.page_articles(table(spark, sf_dir, "pages")))
+
+
+def extraction_counts(spark, sf_dir):
+    return P.extraction_counts(feeds.page_articles(table(spark, sf_dir, "pages")).withColumnRenamed("status", "fetch_status"))
+
+
+def topic_signals(spark, sf_dir):
+    """How many articles have each topic's terms in title and summary."""
+    return S.signal_rows(articles(spark, sf_dir), DEMO).groupBy("category", "location", "term").agg(F.count("*").alias("n"))
+
+
+def feed_articles(spark, sf_dir):
+    """Articles collected from one feed for each document; every other feed is broken behind its first entry."""
+    d = table(spark, sf_dir, "documents").where("doc_id is not null")
+    title = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\p{L}\p{N} ]+", " ")
+    end = F.when(F.col("doc_id") % 2 == 0, F.lit("</channel></rss>")).otherwise(F.lit("<item><title>cut"))
+    body = F.concat(F.lit("<rss><channel><item><title>"), title, F.lit("</title><link>https://x.example.com/"), F.col("doc_id").cast("string"), F.lit("?utm_source=y</link><pubDate>Tue, 02 Jan 2024 03:04:05 +0530</pubDate></item>"), end)
+    one = {"name": "n", "type": "journalism", "tier": 2, "method": "rss", "url": "https://x.example.com/feed", "enabled": True, "primary": False, "discovery": False, "language": "en"}
+    reg = d.select(F.col("doc_id").cast("string").alias("id"), *(F.lit(v).alias(k) for k, v in one.items()), F.create_map(F.lit("xml"), body).alias("settings"), F.array().cast("array<string>").alias("allow_domains"))
+    got = feeds.collect(reg, lambda url, settings: settings["xml"].encode())
+    return feeds.build_articles(got, reg, now()).select(F.col("source_id").cast("long").alias("doc_id"), "title", "canonical_url", "source_role", F.unix_timestamp("published").alias("published"))
+
+
+def scheduler_order(spark, sf_dir):
+    """The first fifty candidates for the schedule."""
+    level = F.when(F.col("ord") % 9 == 0, "IMMEDIATE").when(F.col("ord") % 5 == 0, "HIGH").otherwise("NORMAL")
+    df = articles(spark, sf_dir).select(F.col("ord").alias("story_id"), level.alias("priority"), F.lit("NEWS").alias("label"), (F.col("ord") % 100).cast("double").alias("priority_score"), (F.col("ord") % 77).cast("double").alias("age_minutes"))
+    return P.scheduler_order(df, 50).select("story_id", "priority_score")
+
+
+def simulated_posts(spark, sf_dir):
+    """A dry run over the events as a queue."""
+    e = ticks(spark, sf_dir)
+    queue = e.select(F.col("event_id").cast("string").alias("story_id"), F.col("ts").alias("effective_at"), F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("message"))
+    posted = e.select(F.col("ts").alias("posted_at")).limit(0)
+    return PUB.simulate(queue, posted, dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc), fresh_hours=48.0).select("story_id", "fate", "detail")
+
+
+def enrichment_plan(spark, sf_dir):
+    """Which stories' pages a run would fetch, a hundred at most."""
+    a = articles(spark, sf_dir).select(F.col("ord").alias("story_id"), F.col("ord").alias("queue_rank"), F.when(F.col("ord") % 4 == 0, "HIGH").otherwise("NORMAL").alias("priority"), F.lit("NEWS").alias("label"), (F.col("ord") % 90).cast("double").alias("priority_score"), (F.col("ord") % 3).alias("n_sentences"))
+    cache = a.where("story_id % 6 = 0").select("story_id", F.lit("ok").alias("status"), F.timestamp_seconds(now().cast("double") - F.col("story_id") % 40 * 3600).alias("fetched_at"), F.lit(24).alias("ttl_hours"))
+    return P.enrichment_plan(a, cache, now(), 100).select("story_id", "plan")
 
 
 def revenue_by_nation(spark, sf_dir):
@@ -455,9 +548,10 @@ def order_priority_counts(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         normalize_articles, drop_reasons, canonicalize_urls, url_dedup, page_titles, relevance_score, relevance_by_source, classify_primary, geo_scope, editorial_decision, priority_score, candidate_gate, status_histogram,
-        queue_rank, decision_lines, token_sets, exact_duplicates, headline_pairs, headline_events, event_edges, event_groups, event_replay, event_summary, pipeline_metrics, pipeline_queue, freshness_filter, fate_counts,
+        queue_rank, decision_lines, token_sets, exact_duplicates, headline_pairs, headline_events, event_decisions, event_summary, pipeline_metrics, pipeline_queue, freshness_filter, fate_counts,
         topk_protected, unseen_events, posted_retention, cache_upsert, rolling_post_caps, rate_limit, health_counters, minimum_gaps, props_json, hourly_counts, publish_fates, scheduled_posts, links, page_media, page_articles,
-        collected_items, sentence_split, sentence_facts, story_groups, story_messages, revenue_by_nation, order_priority_counts,
+        collected_items, feed_articles, sentence_split, sentence_facts, story_groups, story_messages, summary_rows, summary_counts, fallback_messages, clean_headlines, non_article_urls, article_sentences, extraction_counts,
+        topic_signals, scheduler_order, simulated_posts, enrichment_plan, revenue_by_nation, order_priority_counts,
     )}
 
 
@@ -493,11 +587,13 @@ def oracle_sql() -> dict[str, str]:
         "headline_pairs": rf"""WITH {ART}, f AS (SELECT ord, published, regexp_replace(lower(title), '[^a-z0-9]+', '', 'g') AS k FROM art)
             SELECT x.ord AS a, y.ord AS b FROM f x JOIN f y ON x.k = y.k AND x.ord < y.ord WHERE x.k <> '' AND abs(epoch(x.published) - epoch(y.published)) / 3600.0 <= 48""",
         "headline_events": rf"""WITH {ART}, f AS (SELECT *, regexp_replace(lower(title), '[^a-z0-9]+', '', 'g') AS k FROM art),
-            m AS (SELECT *, min(ord) OVER (PARTITION BY k) AS event, row_number() OVER (PARTITION BY k ORDER BY tier, published, source_id, ord) AS r1, row_number() OVER (PARTITION BY k ORDER BY published, ord) AS r2 FROM f WHERE k <> ''),
-            g AS (SELECT event, count(*) AS members, max(CASE WHEN r1 = 1 THEN ord END) AS representative, max(CASE WHEN r2 = 1 THEN source_id END) AS first_source, max(CASE WHEN r2 = 1 THEN source_role END) AS first_role,
-                         CAST(count(DISTINCT source_id) AS INTEGER) AS independent_groups FROM m GROUP BY event),
-            e AS (SELECT *, members >= 2 AND independent_groups = 1 AND first_role = 'official-primary' AS is_wire_echo FROM g)
-            SELECT event, members, representative, first_source, independent_groups, is_wire_echo, CASE WHEN is_wire_echo THEN 'low' WHEN independent_groups >= 2 THEN 'high' ELSE 'medium' END AS confidence FROM e""",
+            m AS (SELECT *, min(ord) OVER (PARTITION BY k) AS event, row_number() OVER (PARTITION BY k ORDER BY tier, published, source_id, ord) AS r1, row_number() OVER (PARTITION BY k ORDER BY published, ord) AS r2, row_number() OVER (PARTITION BY k ORDER BY published, source_id, ord) AS r3 FROM f WHERE k <> ''),
+            g AS (SELECT event, count(*) AS members, max(CASE WHEN r1 = 1 THEN ord END) AS representative, max(CASE WHEN r2 = 1 THEN source_id END) AS first_source,
+                         max(CASE WHEN r3 = 1 THEN source_id END) AS first_hand FROM m GROUP BY event),
+            -- the group's kind is that of its first article to come
+            h AS (SELECT g.*, (SELECT min_by(m.source_role, m.r3) FROM m WHERE m.event = g.event AND m.source_id = g.first_hand) AS kind FROM g),
+            e AS (SELECT *, members >= 2 AND kind = 'official-primary' AS is_wire_echo FROM h)
+            SELECT event, members, representative, first_source, CAST(1 AS INTEGER) AS independent_groups, is_wire_echo, CASE WHEN is_wire_echo THEN 'low' ELSE 'medium' END AS confidence FROM e""",
         "freshness_filter": f"""WITH {ART}, f AS (SELECT ord, source_id, CASE WHEN ord % 11 <> 0 THEN published END AS effective_at FROM art), a AS (SELECT *, (epoch({NOW_SQL}) - epoch(effective_at)) / 3600.0 AS age FROM f)
             SELECT ord, CASE WHEN source_id IN ('src3', 'src7') THEN 'non_news' WHEN effective_at IS NULL THEN 'no_effective_at' WHEN age < 0 OR age > 6 THEN 'stale' ELSE 'fresh' END AS fate FROM a""",
         "fate_counts": f"""WITH {ART}, f AS (SELECT ord, source_id, CASE WHEN ord % 11 <> 0 THEN published END AS effective_at FROM art), a AS (SELECT *, (epoch({NOW_SQL}) - epoch(effective_at)) / 3600.0 AS age FROM f),
@@ -505,7 +601,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS candidates, count(*) FILTER (WHERE fate = 'non_news') AS non_news, count(*) FILTER (WHERE fate = 'no_effective_at') AS no_effective_at, count(*) FILTER (WHERE fate = 'stale') AS stale, count(*) FILTER (WHERE fate = 'fresh') AS fresh FROM x""",
         "topk_protected": """WITH t AS (SELECT event_id, value FROM events ORDER BY value DESC, event_id LIMIT 50)
             SELECT event_id, value, 'top' AS why FROM t UNION ALL SELECT event_id, value, 'protected' FROM events WHERE event_type = 'signup' AND value > 90 AND event_id NOT IN (SELECT event_id FROM t)""",
-        "unseen_events": "SELECT event_id, user_id FROM events e WHERE event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.event_type = 'error') AND NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.value > 99)",
+        "unseen_events": """WITH k AS (SELECT *, concat(user_id, ' ', CAST(ts AS DATE)) AS story_id FROM events), bad AS (SELECT story_id FROM k WHERE event_type = 'error' OR value > 99)
+            SELECT event_id, story_id FROM k WHERE event_type = 'purchase' AND story_id NOT IN (SELECT story_id FROM bad)""",
         "posted_retention": f"SELECT event_type, count(*) AS n FROM events WHERE (epoch({end}) - epoch(ts)) <= 54 * 3600 GROUP BY event_type",
         "cache_upsert": "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id % 2 DESC, event_id DESC) AS r FROM events) WHERE r = 1",
         "rolling_post_caps": """WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS us FROM events)
@@ -521,6 +618,26 @@ def oracle_sql() -> dict[str, str]:
             f AS (SELECT *, CASE WHEN ts > {end} THEN 'waiting' WHEN event_id % 5 = 0 THEN CASE WHEN late > 12 THEN 'expired' ELSE 'missing' END WHEN late + 1 > 6 THEN 'expired' WHEN event_type = 'view' THEN 'waiting'
                  WHEN event_type <> 'error' THEN 'posted' WHEN attempts + 1 >= 2 THEN 'failed' ELSE 'retry' END AS fate FROM e)
             SELECT story_id, fate, CASE WHEN fate IN ('failed', 'retry') THEN attempts + 1 ELSE attempts END AS attempts FROM f""",
+        "clean_headlines": rf"""WITH {ART}, t AS (SELECT ord, concat(CASE ord % 3 WHEN 0 THEN 'Live: ' WHEN 1 THEN 'watch - ' ELSE '' END, title, CASE WHEN ord % 2 = 0 THEN ' - Reuters' ELSE ' | BBC World' END) AS title FROM art),
+            c AS (SELECT ord, trim(regexp_replace({_unescape_sql("title")}, '[ \t\n\r\x0b\x0c]+', ' ', 'g')) AS t FROM t),
+            d AS (SELECT ord, regexp_replace(t, '(?i)\s*[-–—|]\s*(?:{"|".join(map(T.escape, T.PUBLISHERS))})$', '') AS t FROM c),
+            e AS (SELECT ord, trim(regexp_replace(regexp_replace(t, '(?i)^(?:Breaking|Flash|Live|Update|Video|Watch)[:\s-]+\s*', ''), '[ \t\n\r\x0b\x0c]+', ' ', 'g')) AS t FROM d)
+            SELECT ord, concat(upper(substr(t, 1, 1)), substr(t, 2)) AS headline FROM e""",
+        "non_article_urls": r"""WITH h AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:]*)', 1)) AS host, string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1)), '/') AS parts FROM pages)
+            SELECT page_id, coalesce(url, '') = '' OR host = 'm.example.com' OR list_has_any(parts, ['video', 'live', 'a', 'tag']) AS non_article FROM h""",
+        "decision_lines": _gated_sql(r"""SELECT ord, concat('status=', status, ' event=', ord, ' priority=', priority, ':', priority_score, ' category=', coalesce(category, '-'), ' geo=', concat_ws(':', geo_scope, state), ' editorial=', editorial,
+            ' headline="', CASE WHEN length(one) > 80 THEN concat(rtrim(substr(one, 1, 79)), '…') ELSE one END, '"') AS line,
+            CASE WHEN status <> 'rejected' THEN NULL WHEN category IS NULL THEN 'no_category' WHEN editorial = 'reject' THEN 'editorial' WHEN rule = 'geo' THEN 'geo' WHEN blocked THEN 'blocked' ELSE 'other' END AS bucket
+            FROM (SELECT *, replace(trim(regexp_replace(title, '[ \t\n\r\x0b\x0c]+', ' ', 'g')), '"', chr(39)) AS one FROM gated)"""),
+        "topic_signals": f"WITH {ART} " + " UNION ALL ".join(f"SELECT '{c.id}' AS category, '{loc}' AS location, '{t}' AS term, count(*) AS n FROM art WHERE {sql_has(loc, [t], ENDINGS)} HAVING count(*) > 0" for c in DEMO.categories for loc in ("title", "summary") for t in c.terms),
+        "feed_articles": r"""WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS title FROM documents WHERE doc_id IS NOT NULL)
+            SELECT doc_id, title, concat('https://x.example.com/', doc_id) AS canonical_url, 'journalism' AS source_role, CAST(epoch(TIMESTAMP '2024-01-01 21:34:05') AS BIGINT) AS published FROM t WHERE title <> ''""",
+        "scheduler_order": f"WITH {ART} SELECT ord AS story_id, CAST(ord % 100 AS DOUBLE) AS priority_score FROM art ORDER BY CASE WHEN ord % 9 = 0 OR ord % 5 = 0 THEN 0 ELSE 1 END, ord % 100 DESC, ord % 77, ord LIMIT 50",
+        "simulated_posts": f"""WITH e AS (SELECT CAST(event_id AS VARCHAR) AS story_id, event_id, (epoch({end}) - epoch(ts)) / 3600.0 AS age FROM events)
+            SELECT story_id, CASE WHEN age > 48 OR event_id % 7 = 0 THEN 'expired' ELSE 'dry_run' END AS fate, CASE WHEN age > 48 THEN 'no longer fresh' WHEN event_id % 7 = 0 THEN 'no usable content' ELSE '' END AS detail FROM e""",
+        "enrichment_plan": f"""WITH {ART}, s AS (SELECT ord, (ord % 4 = 0 OR ord % 90 >= 65) AND ord % 3 < 2 AS need, ord % 6 = 0 AND ord % 40 <= 24 AS live FROM art),
+            r AS (SELECT *, sum(CASE WHEN need AND NOT live THEN 1 ELSE 0 END) OVER (ORDER BY ord) AS k FROM s)
+            SELECT ord AS story_id, CASE WHEN NOT need THEN 'not_needed' WHEN live THEN 'cached' WHEN k <= 100 THEN 'fetch' ELSE 'skipped' END AS plan FROM r""",
         "revenue_by_nation": """SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
             JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
         "order_priority_counts": "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45) GROUP BY 1",

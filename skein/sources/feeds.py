@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as t
 
 from ..functions import html_pages as H
+from ..functions import rows as R
 from ..functions import text as T
 from ..schema import REGISTRY
 
@@ -149,6 +150,17 @@ def page_articles(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, status string, text string")
 
 
+def article_sentences(found: DataFrame) -> DataFrame:
+    """page_id, place and text of the sentences of extracted articles."""
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(p, k, x) for p, t in zip(pdf["page_id"], pdf["text"]) for k, x in enumerate(R.article_sentences(t, ""))]
+            yield pd.DataFrame(rows, columns=["page_id", "place", "sentence"])
+
+    return found.select("page_id", "text").mapInPandas(run, "page_id long, place int, sentence string")
+
+
 def json_items(df: DataFrame, column: str = "body") -> DataFrame:
     """Items of JSON answers, natively: the list may be the whole or below one of the usual keys."""
     kind = "array<struct<title: string, url: string, summary: string, published_at: string, author: string, tags: array<string>>>"

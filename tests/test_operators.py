@@ -1,10 +1,8 @@
-"""Event and story operators on made rows."""
+"""Story operators on made rows."""
 
 import datetime as dt
 
-from skein.operators import events as E
 from skein.operators import stories as ST
-from skein.packs import DEMO
 
 STORY = "story_id string, event_id string, at timestamp, text string, headline string, priority_score double, primary_source boolean, tier int, queue_rank long"
 
@@ -45,20 +43,3 @@ def test_signals_of_one_story():
     assert not _same("Storm Yagi floods leave 20,000 evacuated in Hanoi", "Storm Yagi floods leave 12,000 evacuated in Hanoi")
     assert _same("Storm Yagi floods leave 20,000 evacuated in Hanoi", "Storm Yagi floods leave 45 dead in Hanoi")
     assert not _same("Protest in Ukraine", "Minister from Ukraine resigns")
-
-
-ARTICLE = "ord long, title string, summary string, url string, author string, source_id string, source_role string, published timestamp, tier int"
-
-
-def _facts(spark, *rows):
-    at = dt.datetime(2024, 1, 15)
-    made = [(k, title, summary, f"https://x.org/{k}" if url is None else url, None, f"s{k}", "media", at + dt.timedelta(hours=hours), 2) for k, (hours, title, summary, url) in enumerate(rows)]
-    return E.facts(spark.createDataFrame(made, ARTICLE), DEMO)
-
-
-def test_edges_beyond_many_old_copies(spark):
-    story = "quarry harbour lantern meadow granite willow cinder thistle marble orchard"
-    old = [(0, f"Copy {'abcdefghij'[k % 10] * 4} {'klmnopqrst'[k // 10] * 4}", story, None) for k in range(60)]
-    f = _facts(spark, *old, (100, "Zinnia harbour", story, None), (101, "Amber quarry", story, None))
-    got = {(r["a"], r["b"]) for r in E.edges(f).collect()}
-    assert (60, 61) in got and not any(a < 60 <= b for a, b in got)
