@@ -41,7 +41,7 @@ def test_near_dedup(docs, rows):
     pairs = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if x and y and len(x & y) >= near_dedup.THRESHOLD * len(x | y)]
     assert pairs
     group = {r["doc_id"]: r["group_id"] for r in near_dedup.near_dedup(docs).collect()}
-    assert np.mean([group[a] == group[b] for a, b in pairs]) >= 0.9
+    assert np.mean([group[a] == group[b] for a, b in pairs]) >= 0.98
     joined = {i: i for i, _ in sets}
 
     def root(i):
@@ -54,29 +54,96 @@ def test_near_dedup(docs, rows):
     assert all(root(i) == root(g) for i, g in group.items())
 
 
-def test_packing(docs, rows):
-    capacity = 256
-    got = packing.pack(docs, capacity).collect()
-    words = {i: len((t or "").split()) for i, t, _ in rows}
-    used, per_doc = Counter(), Counter()
-    for r in got:
-        used[r["sequence"]] += r["n_words"]
-        per_doc[r["doc_id"]] += r["n_words"]
-    assert {k: v for k, v in words.items() if v} == dict(per_doc) and max(used.values()) <= capacity
-    gaps: list[int] = []
-    for n in sorted((r["n_words"] for r in got), reverse=True):
-        fit = [g for g in gaps if g >= n]
-        if fit:
-            gaps.remove(min(fit))
-            gaps.append(min(fit) - n)
-        else:
-            gaps.append(capacity - n)
-    assert len(used) <= 1.05 * len(gaps) + 1
+def _mixed(spark, n=240):
+    """Texts that share passages of several lengths, so that buckets hold many components; true groups by brute force."""
+    rng = np.random.default_rng(11)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**6, k)]
+    shared = [word(60) for _ in range(3)]
+    rows = []
+    for k in range(n):
+        t = shared[k % 3] + word(int(rng.choice([4, 20, 40, 55, 70])))
+        rows.append((k, " ".join(t)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), rows
 
 
-def test_sweep_takes_the_least_gap():
-    matches = packing.sweep(np.array([0, 0, 0, 2]), np.array([0, 0, 0, 1, 0, 1])[:4])
-    assert matches == [(3, 0, 3, 0, 1)]
+def _groups(rows):
+    sets = [(i, _shingles(t)) for i, t in rows]
+    joined = {i: i for i, _ in sets}
+
+    def root(i):
+        while joined[i] != i:
+            i = joined[i]
+        return i
+
+    pairs = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if len(x & y) >= near_dedup.THRESHOLD * len(x | y)]
+    for a, b in pairs:
+        joined[max(root(a), root(b))] = min(root(a), root(b))
+    return pairs, {i: root(i) for i in joined}
+
+
+def test_near_dedup_within_mixed_buckets(spark, monkeypatch):
+    df, rows = _mixed(spark)
+    pairs, want = _groups(rows)
+    runs = []
+    for block in (near_dedup.BLOCK, 7):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "PAIRS", near_dedup.PAIRS if block > 7 else 16)
+        runs.append({r["doc_id"]: r["group_id"] for r in near_dedup.near_dedup(df).collect()})
+    assert runs[0] == runs[1]
+    assert len(set(want.values())) > 20 and np.mean([runs[0][i] == g for i, g in want.items()]) >= 0.98
+    # no group joins texts that brute force keeps apart
+    assert all(want[i] == want[g] for i, g in runs[0].items())
+
+
+def test_recall_of_the_bands():
+    for j, least in ((0.5, 0.93), (0.6, 0.99), (0.8, 1.0)):
+        rng = np.random.default_rng(int(j * 100))
+        hit, n = 0, 300
+        for _ in range(n):
+            both, own = rng.integers(0, 1 << 62, int(400 * j)).astype(np.uint64), rng.integers(0, 1 << 62, 400 - int(400 * j)).astype(np.uint64)
+            half = len(own) // 2
+            h = np.concatenate([both, own[:half], both, own[half:]])
+            doc = np.repeat([0, 1], [len(both) + half, len(both) + len(own) - half])
+            a, b = near_dedup.registers(h, doc, 2)[:, near_dedup._BAND]
+            hit += (a == b).all(1).any()
+        assert hit >= least * n
+
+
+def test_packing_is_best_fit_decreasing(docs, rows):
+    for capacity in (256, 40, 7):
+        got = packing.pack(docs, capacity).collect()
+        words = {i: len((t or "").split()) for i, t, _ in rows}
+        per_doc, inside = Counter(), defaultdict(list)
+        for r in got:
+            per_doc[r["doc_id"]] += r["n_words"]
+            inside[r["sequence"]].append((r["place"], r["n_words"]))
+        assert {k: v for k, v in words.items() if v} == dict(per_doc)
+        for spans in inside.values():
+            spans.sort()
+            assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) <= capacity
+        gaps: list[int] = []
+        for n in sorted((r["n_words"] for r in got), reverse=True):
+            fit = [g for g in gaps if g >= n]
+            if fit:
+                gaps.remove(min(fit))
+            gaps.append((min(fit) if fit else capacity) - n)
+        assert sorted(capacity - sum(n for _, n in spans) for spans in inside.values()) == sorted(gaps)
+
+
+def test_sweep_against_one_piece_at_a_time():
+    rng = np.random.default_rng(3)
+    for capacity in (10, 64):
+        counts = rng.integers(0, 30, capacity + 1) * (rng.random(capacity + 1) < 0.5)
+        counts[0] = 0
+        gaps: dict[int, int] = {}
+        for size, rank, n, each, first, used in packing.sweep(counts, capacity):
+            for k in range(n):
+                seq = first + k // each
+                gap = gaps.get(seq, capacity)
+                fits = [g for g in gaps.values() if g >= size]
+                assert gap == capacity - used - size * (k % each) and (gap == min(fits) if fits else seq not in gaps)
+                gaps[seq] = gap - size
+        assert min(gaps.values()) >= 0 and sum(capacity - g for g in gaps.values()) == (counts * np.arange(capacity + 1)).sum()
 
 
 def test_language_held_out(rows):
@@ -86,10 +153,60 @@ def test_language_held_out(rows):
     assert np.mean([a == g for a, (_, g) in zip(got, known[1::2])]) >= 0.9
 
 
+def _word_first(train, texts):
+    """Language scores in plain Python: dictionaries of words and n-grams as strings."""
+    words = lambda t: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", (t or "").lower())
+    grams = lambda w, n: [f" {w} "[i : i + n] for i in range(len(w) + 3 - n)]
+    langs = sorted({g for _, g in train})
+    counts = {n: defaultdict(Counter) for n in (0, *language_id.GRAMS)}
+    for t, g in train:
+        for w in words(t):
+            counts[0][w][g] += 1
+            for n in language_id.GRAMS:
+                for x in grams(w, n):
+                    counts[n][x][g] += 1
+    total = {n: {g: sum(c[g] for c in counts[n].values()) + 0.5 * len(counts[n]) for g in langs} for n in counts}
+    log = lambda n, x, g: np.log((counts[n][x][g] + 0.5) / total[n][g])
+    out = []
+    for t in texts:
+        ws, score = words(t), dict.fromkeys(langs, 0.0)
+        for w in ws:
+            for n in (0, *language_id.GRAMS):
+                known = [x for x in ([w] if n == 0 else grams(w, n)) if x in counts[n]]
+                if known:
+                    for g in langs:
+                        score[g] += sum(log(n, x, g) for x in known) / len(known)
+                    break
+        a, b = sorted(score.values(), reverse=True)[:2]
+        margin = (a - b) / max(len(ws), 1)
+        out.append((max(langs, key=lambda g: score[g]) if ws and margin >= language_id.MIN_MARGIN else "und", margin))
+    return out
+
+
+def test_language_is_the_plain_model(spark, docs, rows):
+    got = {r["doc_id"]: (r["language"], r["margin"]) for r in language_id.identify(docs).collect()}
+    want = _word_first([(t, g) for _, t, g in rows if t and g], [t for _, t, _ in rows])
+    assert len(rows) < language_id.TRAIN_ROWS / 4
+    for (i, _, _), (lang, margin) in zip(rows, want):
+        assert got[i][0] == lang and abs(got[i][1] - margin) < 1e-3
+
+
+def test_topk_takes_fewer_distances_than_all_pairs():
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.standard_normal((300, 8)) * 0.1 + c for c in rng.standard_normal((10, 8)) * 5])
+    p = topk.choose_pivots(x, 16)
+    t = topk.distances(x, p).astype(np.float32)
+    best = topk.Best(np.arange(len(x)), 5)
+    done = topk.visit(best, x, t, np.arange(len(x)), x, t)
+    d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 9)
+    np.fill_diagonal(d, np.inf)
+    assert np.array_equal(best.d, np.sort(d, 1)[:, :5]) and done < 0.3 * d.size
+
+
 def test_topk(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     got = defaultdict(list)
-    for r in topk.nearest(df, k=5, pivots=8, block=64).orderBy("query_id", "rank").collect():
+    for r in topk.nearest(df, k=5, pivots=8, block=64, every=1).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append((r["distance"], r["neighbor_id"]))
     all_rows = df.orderBy("vec_id").collect()
     x, ids = np.array([r["embedding"] for r in all_rows], float), np.array([r["vec_id"] for r in all_rows])
@@ -105,10 +222,11 @@ def _labelled(spark, sf, docs, column):
 
 def test_toxicity_held_out(spark, sf):
     sf = sf.replace("0.001", "0.1")
-    known = sorted(_labelled(spark, sf, spark.read.parquet(f"{sf}/documents.parquet"), "toxic"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    known = sorted(_labelled(spark, sf, docs, "toxic"))
     fit, rest = known[::2], known[1::2]
-    y, t = np.array([q for *_, q in fit]), np.array([q for *_, q in rest]).astype(bool)
-    model = toxicity.train([x for _, x, _ in fit], y, np.arange(len(fit)) % 5 == 0, y.mean())
+    model = toxicity.fit(docs, spark.createDataFrame([(i, q) for i, _, q in fit], "doc_id long, toxic int"))
+    t = np.array([q for *_, q in rest]).astype(bool)
     p = model.scores([x for _, x, _ in rest])
     toxic = p >= model.threshold
     # nine in ten are clean, so accuracy alone would not do
@@ -116,7 +234,30 @@ def test_toxicity_held_out(spark, sf):
     assert np.mean(p[t][:, None] > p[~t][None]) >= 0.93
 
 
+def test_toxicity_features_are_the_plain_ones(spark, sf, docs):
+    """Chi-square of n-grams as strings: every feature beyond doubt is in the model, and nothing below the last place."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def grams(t):
+        s = re.sub(r"[^a-z0-9\u0080-\U0010ffff]", " ", t.lower())
+        return {s[i : i + n] for n in toxicity.GRAMS for i in range(len(s) - n + 1)}
+
+    sets = [(grams(t), y) for _, t, y in _labelled(spark, sf, docs, "toxic")]
+    assert len(sets) < toxicity.TRAIN_ROWS / 2 * min(np.mean([y for _, y in sets]), 0.5) * 4
+    pos, neg = Counter(g for s, y in sets if y for g in s), Counter(g for s, y in sets if not y for g in s)
+    n1 = sum(y for _, y in sets)
+    n0 = len(sets) - n1
+    chi = {g: (pos[g] * (n0 - neg[g]) - neg[g] * (n1 - pos[g])) ** 2 / max((pos[g] + neg[g]) * (n1 + n0 - pos[g] - neg[g]), 1) for g in pos.keys() | neg.keys() if pos[g] + neg[g] >= toxicity.MIN_DF}
+    edge = sorted(chi.values(), reverse=True)[: toxicity.FEATURES][-1]
+    key = lambda g: next(int(h[d == 0][0]) for h, d in toxicity._grams(toxicity.Packed([g])) if len(h[d == 0]) == 1)
+    of = {key(g): g for g in chi if len(g.encode()) == len(g)}
+    mine = set(map(int, model.table.keys))
+    assert all(k in mine for k, g in of.items() if chi[g] > edge + 1e-9) and all(chi[of[k]] >= edge - 1e-9 for k in mine if k in of)
+
+
 def test_html_held_out(spark, sf):
+    """The labels come from the containers' tags; on the held-out pages those tags are hidden from the model."""
+    sf = sf.replace("0.001", "0.01")
     pages = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").collect()]
     model = html_extract.train(pages[::2])
     right = total = 0
@@ -124,9 +265,33 @@ def test_html_held_out(spark, sf):
         found = html_extract.blocks(page)
         want = np.array([any(c in path for c in ("article", "main")) for path, _, _ in found], bool)
         if len(found) and want.any():
-            right += (model.label([html_extract.vectors(found)])[0] == want).sum()
+            right += (model.label([html_extract.vectors(found, hide=True)])[0] == want).sum()
             total += len(found)
-    assert right >= 0.9 * total > 0
+    assert right >= 0.95 * total > 0
+
+
+def test_html_one_page_at_a_time_is_the_same(spark, sf):
+    pages = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").collect()]
+    model = html_extract.train(pages)
+    seqs = [html_extract.vectors(html_extract.blocks(p)) for p in pages]
+
+    def plain(lstm, x):
+        h = c = np.zeros(html_extract.HIDDEN)
+        out = []
+        for v in x.astype(float):
+            z = np.concatenate([v, h]) @ lstm.w + lstm.b
+            i, f, g, o = np.split(z, 4)
+            s = lambda y: 1 / (1 + np.exp(-y))
+            c = s(f) * c + s(i) * np.tanh(g)
+            h = s(o) * np.tanh(c)
+            out.append(h)
+        return np.array(out)
+
+    for x, got in zip(seqs, model.label(seqs)):
+        if len(x):
+            both = np.concatenate([plain(model.a, x), plain(model.b, x[::-1])[::-1]], 1)
+            z = (both @ model.out)[:, 0] + model.bias
+            assert ((z >= 0) == got)[np.abs(z) > 1e-3].all()
 
 
 def test_lstm_gradient():
@@ -195,11 +360,37 @@ def test_decontamination(spark, sf, docs):
     assert 30_000 not in {d for d, _ in got}
 
 
+def test_decontamination_is_brute_force(spark, sf, docs, rows):
+    """Every passage of every document against every item, by words as strings."""
+    items = sorted(map(tuple, spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()))
+    words = lambda t: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", (t or "").lower())
+    held = [set(words(t)) for _, t in items]
+    common = {w for w, n in Counter(w for h in held for w in h).items() if n > max(3, 0.1 * len(items))}
+    pieces = []
+    for i, t in items:
+        seq, last = words(t), words([x for x in re.split(r"(?<=[.!?])\s+|\n", t.strip()) if re.search(r"\w", x)][-1])
+        n = -(-len(seq) // decontaminate.STEP)
+        for k in range(n):
+            piece = seq[k * len(seq) // n : (k + 1) * len(seq) // n]
+            pieces.append((i, piece, Counter(piece), {w for w in last if w in piece and w not in common}))
+    want = set()
+    for d, t, _ in rows:
+        seq = words(t)
+        for at in range(0, max(1, len(seq)), decontaminate.STEP):
+            part = seq[at : at + decontaminate.WINDOW]
+            have = Counter(part)
+            for i, piece, n, answer in pieces:
+                if (d, i) not in want and sum(min(v, have[w]) for w, v in n.items()) >= decontaminate.MIN_LCS * len(piece) and len(answer & have.keys()) >= decontaminate.MIN_ANSWER * len(answer):
+                    if _lcs(piece, part) >= decontaminate.MIN_LCS * len(piece):
+                        want.add((d, i))
+    assert want and {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).collect()} == want
+
+
 def test_decontamination_of_more_items_than_the_rank(spark, sf):
     sf = sf.replace("0.001", "0.1")
     rng = np.random.default_rng(5)
     texts = [t.split(" ") for (t,) in spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 5 = 0 and text is not null").orderBy("doc_id").select("text").collect()]
-    texts = [t for t in texts if len(t) >= 100 and len(set(t[20:35])) > 8]  # an item of common words only never matches
+    texts = [t for t in texts if len(t) >= 100 and len(set(t[20:35])) > 8]
     items = [t for (t,) in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").select("text").collect()]
     items += [" ".join(t[20 : 20 + rng.integers(15, 60)]) for t in texts[:400]]
     docs = []

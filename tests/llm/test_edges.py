@@ -1,11 +1,14 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names for the ten operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from skein.llm import chat, decontaminate, html_extract, language_id, line_dedup, near_dedup, packing, quality, topk, toxicity
 
-CLASH = ("d", "g", "h", "i", "row", "len", "bucket", "size", "reg", "k1", "__i", "__text", "__toxic", "seq", "x", "block")
+CLASH = ("d", "g", "h", "i", "row", "len", "bucket", "size", "reg", "k1", "__i", "__text", "__toxic", "seq", "x", "block", "__leak_id", "__near_dedup_id", "a", "b", "item_id", "group_id", "keep", "m", "part", "start", "place")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH)
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 LINE = "a line of some length that is in several documents"
@@ -55,6 +58,21 @@ def test_near_dedup_stage(nasty):
     assert sorted(r["doc_id"] or 0 for r in out.select("doc_id").collect()) == [0, 0, 1, 3, 4, 5, 6, 7, 8, 9, 10, 11]
 
 
+def test_near_dedup_of_rows_with_one_id(spark):
+    one, other, third = " ".join(WORDS), " ".join(WORDS[::-1]), "entirely different words of no other text here"
+    rows = [(5, one), (5, other), (7, one + " more"), (8, other + " more"), (9, third), (9, third)]
+    got = {r["doc_id"]: r["group_id"] for r in near_dedup.near_dedup(_docs(spark, rows)).collect()}
+    assert got == {5: 5, 7: 5, 8: 5, 9: 9}
+
+
+def test_near_dedup_of_very_long_texts(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in rng.integers(0, 10**6, 60_000)]
+    near = [w if k % 20 else "x" for k, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(words[:10_000])), (4, " ".join(words[::-1]))]
+    assert {r["doc_id"]: r["group_id"] for r in near_dedup.near_dedup(_docs(spark, rows)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_packing(nasty, none):
     rows = packing.pack(nasty, 64).collect()
     assert all(0 < r["n_words"] <= 64 and r["place"] + r["n_words"] <= 64 for r in rows)
@@ -79,6 +97,38 @@ def test_toxicity(nasty, none, labels):
     assert {r["score"] for r in toxicity.toxicity(nasty, labels.limit(0)).collect()} == {0.0}
 
 
+def test_ties(spark):
+    rows = [(k, f"{a} {b} {c}", lang) for k, (a, b, c, lang) in enumerate([("uno", "dos", "tres", "es"), ("one", "two", "three", "en"), ("uno", "dos", "tres", "es"), ("one", "two", "three", "en")])]
+    docs = _docs(spark, rows + [(9, "uno one", None), (10, "uno one", None), (11, "uno dos", None)])
+    got = {r["doc_id"]: (r["language"], r["margin"]) for r in language_id.identify(docs).collect()}
+    assert got[9] == got[10] == ("und", 0.0) and got[11][0] == "es" and got[0][0] == "es" and got[1][0] == "en"
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, toxic int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()}
+    assert score[0] == score[2] and score[1] == score[3] and score[9] == score[10]
+
+
+def test_long_text_of_each_row_operator(spark, labels):
+    long = " ".join(f"{w}{k}" for k in range(3000) for w in WORDS)
+    docs = _docs(spark, [(1, long), (2, "short text"), (6, long + " idiot")])
+    for out in (toxicity.toxicity(docs, labels), quality.quality(docs, labels), language_id.identify(docs)):
+        assert out.count() == 3
+
+
+def test_stages_over_empty_tables(none, bench):
+    for out in (language_id.language_stage(none), line_dedup.line_dedup_stage(none), near_dedup.near_dedup_stage(none), decontaminate.decontaminate_stage(none, bench), decontaminate.decontaminate_stage(none, bench.limit(0))):
+        assert out.columns == none.columns and out.count() == 0
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline(spark, nasty, none, bench, tmp_path, empty):
+    (none if empty else nasty).write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r["doc_id"] for r in rows}
+    # 2 repeats 1, 9 holds an item, 3 to 5 have no words; one language's rows are few, so the rest may be rejected
+    assert not ids & {2, 3, 4, 5, 9} and (not rows if empty else True)
+
+
 def test_line_dedup(nasty, none):
     rows = {(r["doc_id"], r["text"]): (r["n_lines"], r["n_dropped"]) for r in line_dedup.dedup_lines(nasty).collect()}
     assert rows[1, " ".join(WORDS) + "\n" + LINE] == (2, 0)
@@ -97,6 +147,21 @@ def test_decontamination(nasty, none, bench):
     assert out.columns == nasty.columns and out.count() == nasty.count() - 1
 
 
+def test_decontamination_far_into_a_document(spark):
+    bench = spark.createDataFrame([(1, BENCH)], "item_id long, text string")
+    docs = _docs(spark, [(1, "word " * 70_000 + BENCH), (2, BENCH + " word" * 70_000 + " " + BENCH)])
+    got = {r["doc_id"]: r["place"] for r in decontaminate.leaks(docs, bench).collect()}
+    assert got[2] == 0 and 70_000 - 128 <= got[1] <= 70_000
+
+
+def test_decontamination_of_an_item_of_common_words(spark):
+    items = [(k, f"{w} is the name of the thing that we want to see today") for k, w in enumerate(WORDS)] + [(99, "the name of the thing that we want to see")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = _docs(spark, [(1, "so the name of the thing that we want to see is here"), (2, "the very name of all the other thing that perhaps we want now to see")])
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
+    assert (1, 99) in got and (2, 99) not in got
+
+
 def test_quality(nasty, none, labels):
     rows = quality.quality(nasty, labels).collect()
     assert len(rows) == nasty.count() and all(r["quality"] == 0 and not r["keep"] for r in rows if r["doc_id"] in (3, 4, 5))
@@ -104,12 +169,21 @@ def test_quality(nasty, none, labels):
     assert all(r["keep"] for r in quality.quality(nasty, labels.limit(0)).where("doc_id in (1, 2, 7)").collect())
 
 
+def test_html_of_a_very_long_page(spark):
+    page = "<article>" + "<p>a few words of it</p>" * 60_000 + "</article>"
+    df = spark.createDataFrame([(k, "<nav><a>x</a></nav><article><p>some words in it</p></article>") for k in range(70)] + [(99, page)], "page_id long, html string")
+    got = {r["page_id"]: r["n_blocks"] for r in html_extract.extract(df).collect()}
+    assert got[99] == 60_000 and len(got) == 71
+
+
 def test_topk(spark):
     rows = [(1, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [3.0, 4.0]), (3, [3.0, 4.0]), (4, None), (5, []), (6, [1.0, None]), (7, [1.0]), (None, [1.0, 1.0]), (8, [float("nan"), 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("z") for c in ("i", "b", "c", "low", "x")})
-    got = sorted(map(tuple, topk.nearest(df, k=2).collect()))
+    got = sorted(map(tuple, topk.nearest(df, k=2, every=1).collect()))
     assert got == [(1, 2, 5.0, 1), (1, 3, 5.0, 2), (2, 1, 5.0, 2), (2, 3, 0.0, 1), (3, 1, 5.0, 2), (3, 2, 0.0, 1)]
-    assert topk.nearest(df.limit(0)).count() == 0
+    assert topk.nearest(df.limit(0)).count() == 0 and topk.nearest(df).count() == 0
+    two = spark.createDataFrame([(20, [0.0]), (20, [9.0]), (1, [1.0]), (2, [8.5]), (3, [4.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.nearest(two, k=2, block=2).collect())) == [(20, 1, 1.0, 2), (20, 2, 0.5, 1)]
 
 
 def test_html(spark):
@@ -125,5 +199,8 @@ def test_html(spark):
 def test_chat(spark):
     df = spark.createDataFrame([(1, 0, "user", "a", "z"), (1, 0, "user", "a", "z"), (1, None, None, None, "z"), (None, 1, "user", "b" * 100_000, "z")], "conv_id long, turn long, role string, text string, spans string")
     got = {r["conv_id"]: r for r in chat.format_chats(df).collect()}
+    assert chat.format_chats(df.union(df)).where("conv_id is null").count() == 2
+    first = lambda turns: f"{turns[0][0]}|" + "".join(t for _, t in turns)
+    assert chat.render([("u", "aa"), ("v", "bb")], first) == ("u|aabb", [(0, 4), (4, 6)], None)
     assert got[1]["n_turns"] == 3 and got[None]["n_turns"] == 1 and len(got[None]["text"]) > 100_000
     assert chat.format_chats(df.limit(0)).count() == 0
