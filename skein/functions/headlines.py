@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from .sentences import split
 
@@ -18,6 +19,7 @@ ACTIONS = frozenset("agreement approv arrest arriv attack blackout blast bomb br
 SYNONYMS = {k: frozenset(v.split()) for k, v in {"strike": "batters hit landfall pummel slams strike", "shoot": "gunfire gunman shoot shooting", "sign": "ink ratify seal sign", "pact": "accord agreement deal pact treaty", "visit": "arriv arrive visit", "outage": "blackout collapse outage shutdown", "convict": "convict guilty liable verdict", "fine": "fine penalty", "kill": "dead death fatal kill", "evacuat": "evacuat evacuation flee"}.items()}
 
 
+@lru_cache(4096)
 def names(text: str) -> set[str]:
     """Words of capitalized runs, without a lone first word of a sentence unless it is a known name; aliases beside their names."""
     out = set()
@@ -36,6 +38,7 @@ def names(text: str) -> set[str]:
     return out
 
 
+@lru_cache(4096)
 def actions(text: str) -> set[str]:
     """Event words and their stems, and the name of each group of synonyms that has one."""
     stems = set()

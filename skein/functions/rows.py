@@ -6,6 +6,7 @@ Plain functions of strings; ``operators.stories`` runs them over whole columns o
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from . import headlines as H
 from . import sentences as S
@@ -42,6 +43,7 @@ GENERAL_CLAIM = re.compile(
 )
 
 
+@lru_cache(4096)
 def numbers(text: str) -> set[str]:
     """Numbers without separators; number words below thirteen count too."""
     words = {w: str(n) for n, w in enumerate("one two three four five six seven eight nine ten eleven twelve".split(), 1)}
@@ -49,10 +51,12 @@ def numbers(text: str) -> set[str]:
     return {x.replace(",", "").rstrip(".") for x in S.NUMBER.findall(low)} | {words[w] for w in re.findall(r"[a-z]+", low) if w in words and w != "one"}
 
 
+@lru_cache(4096)
 def unit_values(text: str) -> set[str]:
     return set(H.units(text))
 
 
+@lru_cache(4096)
 def facts(text: str | None) -> dict:
     """numbers, entities, locations, temporal, impact as sets or lists of what stands in the text; attribution trailing, leading or None."""
     t = text or ""
@@ -77,6 +81,7 @@ def score(f: dict) -> float:
     return 3.0 * two("impact") + 1.5 * two("numbers") + two("locations") + 0.75 * two("entities") + 0.5 * bool(f["temporal"]) + 0.5 * bool(f["attribution"])
 
 
+@lru_cache(4096)
 def specificity(text: str) -> float:
     """What ties a sentence to one happening: time, place, consequence, speaker, clock or coordinates."""
     f = facts(text)
@@ -84,6 +89,7 @@ def specificity(text: str) -> float:
     return out + 1.5 * bool(ANCHOR.search(text)) + 2.0 * bool(re.search(rf"\b(?:{_any(' '.join(CONSEQUENCES))})\b", text, re.I))
 
 
+@lru_cache(4096)
 def generic(text: str) -> bool:
     """A general explanation: a general claim without anything that ties it to the event."""
     f = facts(text)
@@ -92,6 +98,7 @@ def generic(text: str) -> bool:
     return bool(GENERAL_OPENING.match(text) or GENERAL_CLAIM.search(text))
 
 
+@lru_cache(4096)
 def impact_signature(text: str) -> set[tuple[str, str | None]]:
     """Each counted consequence, without its quantifier, and the consequence word within the next 60 characters."""
     out = set()
@@ -148,6 +155,7 @@ def runs(text: str) -> list[str]:
     return out
 
 
+@lru_cache(4096)
 def off_topic_name(text: str, headline: str) -> bool:
     """A name of several words that is no place and has nothing of the headline."""
     known = H.KNOWN | set(H.ALIASES)
@@ -156,6 +164,7 @@ def off_topic_name(text: str, headline: str) -> bool:
     return any(r not in low and r not in known and not any(w in H.PLACES or w in own for w in r.split()) for r in runs(text))
 
 
+@lru_cache(4096)
 def acronyms(text: str) -> set[str]:
     """Words in capitals, and the initials of capitalized runs."""
     spelled = {w.lower() for w in H.WORD.findall(text or "") if len(w) > 1 and w.isalpha() and w.isupper()}
@@ -163,6 +172,7 @@ def acronyms(text: str) -> set[str]:
     return spelled | {"".join(w[0] for w in ws) for ws in words if len(ws) > 1}
 
 
+@lru_cache(4096)
 def links(text: str, headline: str) -> bool:
     """Whether a row shares an acronym, a name or place, an action, or the stem of a word with the headline, or counts a consequence."""
     if not text or not headline:
