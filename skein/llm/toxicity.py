@@ -3,8 +3,9 @@
 A feature is the presence of an n-gram (case folded, separators as spaces) anywhere in the text,
 times r = log of the ratio of its smoothed shares of toxic and clean training documents. Features
 are the ``FEATURES`` n-grams most associated with the label (chi-square); weights are L2-penalised
-logistic regression; the threshold maximises F1 on a fifth of the sample held out by hashed
-doc_id, with classes weighted to their shares among all labels.
+logistic regression. The threshold maximises F1 on a fifth of the sample held out by hashed
+doc_id, with classes weighted to their shares among all labels, for a model fitted without it; the
+model in use is then fitted on the whole sample.
 
 N-grams are counted on the executors: a plain aggregate gives each one's numbers of toxic and
 clean documents, and the driver gets the chosen features and, for the sample's documents, the
@@ -13,7 +14,7 @@ numbers of the features that they hold, but no text.
 Nulls, ties, extremes: a null or empty text has no n-grams, so its score is the intercept's; all
 n-grams of a long text count; equal texts get equal scores; a null doc_id is passed on. Labels
 that are null or of no document are left out; a document with several labels is toxic if one says
-so. Without labels of both kinds every score is 0; if a part of the sample, the held or the other, lacks one kind, all of it serves for both. An empty table gives an empty result. Other
+so. Without labels of both kinds every score is 0; if a part of the sample, the held or the other, lacks one kind, the threshold is set on the whole of it. An empty table gives an empty result. Other
 columns are not read.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .language_id import sample
 from .spans import Packed, Table, U, mix, slices, small
-from .store import Scratch
+from .store import Scratch, text_batches
 
 GRAMS = (3, 4, 5)
 #: Bound on the labelled rows fitted on, in equal shares of both labels.
@@ -115,69 +116,88 @@ def _fit_lr(d, f, n, k, y, scale, steps=400, l2=1.0):
     return w, b
 
 
+COUNTS = ("pos", "neg", "held_pos", "held_neg")
+
+
 def _counted(batches):
-    """Rows (text, y): each n-gram's numbers of toxic and clean documents."""
+    """Rows (text, y, held): each n-gram's numbers of toxic and clean documents, in all and among those held out."""
 
-    def passed(keys, pos, neg):
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(pos), pa.array(neg)], ["h", "pos", "neg"])
+    def passed():
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(pa.array(c) for c in counts)], ["h", *COUNTS])
 
-    keys, pos, neg = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, counts = np.zeros(0, U), [np.zeros(0, np.int64)] * 4
     for b in small(batches):
-        texts, y = b.column(0).to_pylist(), b.column(1).to_numpy().astype(np.int64)
+        texts, y, held = b.column(0).to_pylist(), b.column(1).to_numpy().astype(np.int64), np.asarray(b.column(2).to_pylist(), np.int64)
         for x, z in slices(texts):
             d, h = _present(texts[x:z])
             every, at = np.unique(np.concatenate([keys, h]), return_inverse=True)
-            t = y[x:z][d]
-            both = [np.bincount(at, weights=np.concatenate([old, new]), minlength=len(every)).astype(np.int64) for old, new in ((pos, t), (neg, 1 - t))]
-            keys, pos, neg = every, *both
+            t, u = y[x:z][d], held[x:z][d]
+            counts = [np.bincount(at, weights=np.concatenate([old, new]), minlength=len(every)).astype(np.int64) for old, new in zip(counts, (t, 1 - t, t * u, (1 - t) * u))]
+            keys = every
             if len(keys) > TALLY:
-                yield passed(keys, pos, neg)
-                keys, pos, neg = keys[:0], pos[:0], neg[:0]
-    yield passed(keys, pos, neg)
+                yield passed()
+                keys, counts = np.zeros(0, U), [np.zeros(0, np.int64)] * 4
+    yield passed()
+
+
+def _features(grams: DataFrame, pos, neg, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the ``FEATURES`` n-grams of greatest chi-square, and their log-count ratios."""
+    df = pos + neg
+    det = pos * (n0 - neg) - neg * (n1 - pos)
+    chi = det * det / F.greatest(df * (n1 + n0 - df), F.lit(1.0))
+    top = grams.where(df >= MIN_DF).select("h", pos.alias("p"), neg.alias("n"), chi.alias("chi")).where("chi > 0").orderBy(F.desc("chi"), "h").limit(FEATURES).toArrow()
+    p, n = top.column("p").to_numpy(), top.column("n").to_numpy()
+    return top.column("h").to_numpy().astype(np.int64).view(U), np.log(((p + 1) / (n1 + 2)) / ((n + 1) / (n0 + 2)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+    """A model without the held-out fifth sets the threshold on it; the model returned is fitted on the whole sample."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("__i")).agg(F.max(F.col("toxic").cast("int")).alias("__toxic"))
     share = known.agg(F.avg("__toxic").alias("m")).first()["m"]
     both = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__i")).select("doc_id", "text", "__toxic")
     picked, kinds = sample(both, "__toxic", rows)
-    none = Model(np.zeros(0, U), np.zeros(0), 0.0, 0.5)
     if len(kinds) < 2:
-        return none
+        return Model(np.zeros(0, U), np.zeros(0), 0.0, 0.5)
     scratch = Scratch(docs.sparkSession)
     # the sample is spread over tasks again: its rows may lie anywhere in the table
-    some = scratch.keep(picked.select("doc_id", "text", F.col("__toxic").alias("y"), (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("held")).repartition("doc_id"), "sample")
+    some = scratch.keep(picked.select("doc_id", "text", F.col("__toxic").alias("y"), (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("held")).repartition("doc_id"), "sample").select("text", "y", "held")
     parts = {(r["held"], r["y"]): r["n"] for r in some.groupBy("held", "y").agg(F.count("*").alias("n")).collect()}
+    n = {k: (parts.get((True, k), 0), parts.get((False, k), 0)) for k in (1, 0)}
+    grams = some.mapInArrow(_counted, "h long, " + ", ".join(f"{c} long" for c in COUNTS)).groupBy("h").agg(*(F.sum(c).cast("double").alias(c) for c in COUNTS))
+    grams = scratch.keep(grams.where(F.col("pos") + F.col("neg") >= MIN_DF), "grams")
     split = len(parts) == 4
-    some = some.select("text", "y", (~F.col("held") if split else F.lit(True)).alias("fitted"), (F.col("held") if split else F.lit(True)).alias("judged"))
-    n1, n0 = (sum(n for (held, y), n in parts.items() if y == k and not (split and held)) for k in (1, 0))
-    grams = some.where("fitted").select("text", "y").mapInArrow(_counted, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))
-    df = F.col("pos") + F.col("neg")
-    det = F.col("pos") * (n0 - F.col("neg")) - F.col("neg") * (n1 - F.col("pos"))
-    chi = det * det / F.greatest(df * (n1 + n0 - df), F.lit(1.0))
-    top = grams.where(df >= MIN_DF).select("h", "pos", "neg", chi.alias("chi")).where("chi > 0").orderBy(F.desc("chi"), "h").limit(FEATURES).toArrow()
-    keys = top.column("h").to_numpy().astype(np.int64).view(U)
-    pos, neg = top.column("pos").to_numpy(), top.column("neg").to_numpy()
-    r = np.log(((pos + 1) / (n1 + 2)) / ((neg + 1) / (n0 + 2)))
-    model = Model(keys, r, 0.0, 0.5)
+    ways = {"whole": _features(grams, F.col("pos"), F.col("neg"), sum(n[1]), sum(n[0]))}
+    if split:
+        ways["part"] = _features(grams, F.col("pos") - F.col("held_pos"), F.col("neg") - F.col("held_neg"), n[1][1], n[0][1])
+    finder = Model(np.unique(np.concatenate([k for k, _ in ways.values()])), np.ones(1), 0.0, 0.5)
 
     def features(batches):
         for b in small(batches):
-            d, f = model.present(b.column(0).to_pylist())
+            d, f = finder.present(b.column(0).to_pylist())
             order = np.lexsort((f, d))
             f, cut = f[order].astype(np.int32), np.searchsorted(d[order], np.arange(b.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array([f[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())], ["y", "fitted", "judged", "f"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array([f[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())], ["y", "held", "f"])
 
-    got = some.mapInArrow(features, "y int, fitted boolean, judged boolean, f binary").toArrow().sort_by([("y", "ascending"), ("f", "ascending")]).combine_chunks()
+    got = some.mapInArrow(features, "y int, held boolean, f binary").toArrow().sort_by([("y", "ascending"), ("f", "ascending")]).combine_chunks()
     scratch.drop()
-    f = [np.frombuffer(x, np.int32) for x in got.column("f").to_pylist()]
-    d = np.repeat(np.arange(len(f), dtype=np.int32), [len(x) for x in f])
-    f = np.concatenate(f) if f else np.zeros(0, np.int32)
-    y, fitted, judged = (np.asarray(got.column(c).to_pylist(), bool) for c in ("y", "fitted", "judged"))
-    place = np.cumsum(fitted) - 1
-    w, b = _fit_lr(place[d[fitted[d]]], f[fitted[d]], int(fitted.sum()), len(keys), y[fitted].astype(float), r)
-    model = Model(keys, w * r, b, 0.5)
-    model.threshold = threshold(model.of(d, f, len(y))[judged], y[judged], float(share))
+    lists = [np.frombuffer(x, np.int32) for x in got.column("f").to_pylist()]
+    every = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists]), np.concatenate(lists)
+    y, held = (np.asarray(got.column(c).to_pylist(), bool) for c in ("y", "held"))
+
+    def fitted(keys: np.ndarray, ratio: np.ndarray, use: np.ndarray) -> tuple[Model, np.ndarray]:
+        """The model on the rows to use, and its scores of all."""
+        model = Model(keys, np.zeros(len(keys)), 0.0, 0.5)
+        to = model.table.find(finder.table.keys)[every[1]]
+        d, f = every[0][to >= 0], to[to >= 0]
+        w, b = _fit_lr((np.cumsum(use) - 1)[d[use[d]]], f[use[d]], int(use.sum()), len(keys), y[use].astype(float), ratio)
+        model.weights, model.bias = w * ratio, b
+        return model, model.of(d, f, len(y))
+
+    model, scores = fitted(*ways["whole"], np.ones(len(y), bool))
+    if split:
+        _, scores = fitted(*ways["part"], ~held)
+    judged = held if split else np.ones(len(y), bool)
+    model.threshold = threshold(scores[judged], y[judged], float(share))
     return model
 
 
@@ -202,4 +222,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, model: Model | None = None) ->
             p = model.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= model.threshold) & bool(len(model.weights)))], ["doc_id", "score", "toxic"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, toxic boolean")
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, toxic boolean")
