@@ -1,4 +1,10 @@
-"""A corpus pipeline of five stages; each takes and returns documents, but for the last, which packs them."""
+"""A corpus pipeline of five stages; each takes and returns documents, but for the last, which packs them.
+
+Nulls, ties, extremes: documents without words are of no language and go with the first stage; of repeated rows, lines
+and texts the document of least doc_id keeps what they share; rows with a null doc_id pass the stages, but lose lines that a
+document with an id holds; whole texts are read, however long. Columns beyond those of documents, whatever their
+names, come through to the last stage unread. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
