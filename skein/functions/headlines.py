@@ -7,7 +7,8 @@ from functools import lru_cache
 
 from .sentences import split
 
-WORD = re.compile(r"[A-Za-z0-9]+(?:[\u2019'-][A-Za-z0-9]+)*")
+_LETTERS = "[0-9A-Za-z]+"
+WORD = re.compile(f"{_LETTERS}(?:[-'’]{_LETTERS})*")
 POSSESSIVE = re.compile(r"'\w*$")
 NUMBER = re.compile(r"\d[\d,.]*")
 UNIT = re.compile(r"(\d[\d,.]*)\s*(million|billion|thousand|percent|%|people|residents|homes|families|troops|soldiers|killed|injured|dead|displaced|evacuated|evacuees|jobs|sq miles|sq km|sq m|miles|km|hectares|acres|fires|officers|hostages)", re.I)
@@ -43,7 +44,7 @@ def actions(text: str) -> set[str]:
     """Event words and their stems, and the name of each group of synonyms that has one."""
     stems = set()
     for w in WORD.findall(text.lower()):
-        stems |= {w} | {w[: -len(x)] for x in ("s", "es", "ed", "d", "ing") if len(w) > len(x) + 2 and w.endswith(x)}
+        stems |= {w} | {w[: -len(x)] for x in "s es ed d ing".split() if len(w) > len(x) + 2 and w.endswith(x)}
     return {k for k, v in SYNONYMS.items() if v & stems} | stems & ACTIONS
 
 

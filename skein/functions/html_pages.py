@@ -9,8 +9,9 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit, urlunsplit
 from xml.etree import ElementTree
 
-TRACKING = frozenset(("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "fbclid", "gclid", "mc_cid", "mc_eid", "igshid", "ref_src"))
-LIST_KEYS = ("articles", "data", "results", "items", "rows", "entries")
+from .text import TRACKING
+
+LIST_KEYS = "articles data results items rows entries".split()
 PAYWALL = re.compile(r"(?:continue reading|subscribe to (?:read|continue)|subscribers? only|already a subscriber)", re.I)
 UNSUITABLE = re.compile(r"(?:^|[/_.\-])(?:logo|icon|avatar|sprite|pixel|badge|banner|placeholder|spacer|button|ads?)(?:[/_.\-]|$)", re.I)
 

@@ -24,15 +24,17 @@ QUANTIFIERS = _any("about almost around at_least more_than nearly over roughly u
 CONSEQUENCES = "affected arrested damaged destroyed detained died displaced evacuated homeless injured killed missing rescued stranded trapped wounded".split()
 _AREA = _any("area bay capital central city coast county district east eastern island metropolitan national north northern park prefecture province region river south southern state town valley village west western")
 _NAME = r"[A-Z][A-Za-z’'-]*"
-IMPACT = re.compile(rf"(?:(?:{QUANTIFIERS})\s+)?\d[\d,]*(?:\.\d+)?\s*\b(?:{COUNTED})\b", re.I)
+IMPACT = re.compile(rf"(?:(?:{QUANTIFIERS})\s+)?\d(?:[\d,.]*\d)?\s*\b(?:{COUNTED})\b", re.I)
 QUANTIFIER = re.compile(rf"^(?:{QUANTIFIERS})\s+", re.I)
 PLACE = re.compile(rf"\b(?:{_any('across around at from in near toward towards')})\s+({_NAME}(?:\s+(?:{_NAME}|(?:{_AREA})\b)){{0,2}})")
-_SPEAKER = r"[A-Za-z][\w’'-]*(?:\s+[A-Za-z][\w’'-]*){0,3}"
+_WORD, _D = r"[A-Za-z][\w’'-]*", "[0-9]"
+_SPEAKER = rf"{_WORD}(?:\s+{_WORD}){{0,3}}"
 ENDING_SPEAKER = re.compile(rf",\s*(?:according to\s+{_SPEAKER}|{_SPEAKER}\s+(?:{REPORTING}))\s*[.!?]?\s*$", re.I)
 LEADING_SPEAKER = re.compile(rf"^{_SPEAKER}\s+(?:(?:{_any('am are had has have is was were')})\s+)?(?:{REPORTING})\b", re.I)
 CLOSED_QUOTE = re.compile(r"""(?<=[.!?]['"‘’“”])\s+""")
 SHIFT = re.compile(rf"^\W*(?:{_any('additionally also as_for away_from besides by_the_way elsewhere furthermore however in_contrast in_other_developments in_other_news in_the_meantime in_unrelated_news meanwhile moreover on_a_different_note on_another_note on_the_other_hand separately shifting_focus turning_to')})\b", re.I)
-ANCHOR = re.compile(r"\b\d{1,2}:\d{2}(?::\d{2})?\b|\d+(?:\.\d+)?\s*[°º]|\b\d{1,2}/\d{1,2}/\d{2,4}\b")
+#: A clock, degrees or a date with slashes.
+ANCHOR = re.compile(rf"\b{_D}{{1,2}}(?::{_D}{{2}}){{1,2}}\b|{_D}\s*[°º]|\b(?:{_D}{{1,2}}/){{2}}{_D}{{2,4}}\b")
 _S = r"\s+"
 GENERAL_OPENING = re.compile(rf"^(?:{_any('for_context_purposes for_general_purposes for_reference_purposes for_scientific_purposes generally in_general in_many_cases typically usually', _S)})\b", re.I)
 GENERAL_CLAIM = re.compile(

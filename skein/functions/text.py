@@ -8,8 +8,8 @@ SPACE = r"[ \t\n\r\x0b\x0c]+"
 #: Letters, digits and underscore on both sides of a term's edge.
 EDGE_L, EDGE_R = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
-LANGUAGES = {"english": "en", "eng": "en", "french": "fr", "fra": "fr", "german": "de", "deu": "de", "spanish": "es", "spa": "es", "hindi": "hi", "hin": "hi"}
-TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "fbclid", "gclid", "mc_cid", "mc_eid", "igshid", "ref_src")
+LANGUAGES = {name: code for code, names in {"en": "english eng", "fr": "french fra", "de": "german deu", "es": "spanish spa", "hi": "hindi hin"}.items() for name in names.split()}
+TRACKING = tuple("fbclid gclid igshid mc_cid mc_eid ref_src utm_campaign utm_content utm_id utm_medium utm_source utm_term".split())
 
 
 def escape(term: str) -> str:

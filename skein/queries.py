@@ -41,7 +41,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-# ---- SQL pieces ----------------------------------------------------------------------------
+# SQL pieces
 
 
 def sql_has(column: str, terms, endings: str = "") -> str:
@@ -217,7 +217,7 @@ def _canonical_sql(c: str) -> str:
     return f"concat({head}, {path}, CASE WHEN len({kept}) > 0 THEN concat('?', array_to_string({kept}, '&')) ELSE '' END)"
 
 
-# ---- queries -------------------------------------------------------------------------------
+# queries
 
 
 def normalize_articles(spark, sf_dir):

@@ -24,7 +24,7 @@ NOW = dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc)
 PAGE = b"<html><body>" + b"<p>Officials said the river rose by two metres over the night.</p>" * 6 + b"</body></html>"
 
 
-# ---- fetching -------------------------------------------------------------------------------
+# fetching
 
 
 def _get(pages):
@@ -105,7 +105,7 @@ def test_enrichment(spark):
     assert {tuple(r) for r in P.extraction_counts(fetched).collect()} == {("http_error", 1), ("ok", 1)}
 
 
-# ---- feeds ----------------------------------------------------------------------------------
+# feeds
 
 ITEM = "<item><title>{}</title><link>https://x.org/{}?utm_source=a</link><dc:creator>By A</dc:creator><category term='t'/></item>"
 
@@ -189,7 +189,7 @@ def test_image_sizes(data, size):
     assert H.image_size(data) == size
 
 
-# ---- sentence rows --------------------------------------------------------------------------
+# sentence rows
 
 HEAD = "Wildfire in Spokane forces evacuation of 20,000 residents"
 
@@ -263,7 +263,7 @@ def test_messages(spark):
     assert "Seven eight nine ten." in one and "Fourteen" not in one and "…" in two
 
 
-# ---- the publish loop -----------------------------------------------------------------------
+# the publish loop
 
 
 def _tables(spark, scheduled, queue, posted=()):
@@ -374,7 +374,7 @@ def test_streams(spark, tmp_path):
     assert [(r["key"], r["n"]) for r in got] == [("a", 6)]
 
 
-# ---- terms and packs ------------------------------------------------------------------------
+# terms and packs
 
 
 def test_terms_apart_and_by_stem():
