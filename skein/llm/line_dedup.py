@@ -54,7 +54,7 @@ def _lines(texts: list, min_bytes: int):
     return doc, p.hash(ts, te), te - ts >= min_bytes
 
 
-# ---- minimal perfect hash ----------------------------------------------------------------
+# minimal perfect hash
 
 
 def build_mph(keys: np.ndarray) -> list[np.ndarray]:
