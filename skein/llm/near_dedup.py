@@ -15,7 +15,7 @@ low bits of the registers, so that each pair which shares a bucket is either com
 in one group. Between the steps only ids are shuffled; sketches and sets are fetched by id for the distinct pairs.
 
 Two texts of similarity 0.5 share a band with probability 0.95, of 0.6 with 0.9996; beyond that only the estimate's
-error, four standard errors at ``SLACK``, can lose a pair.
+error, four standard errors at ``SLACK`` and ``LOW_SLACK``, can lose a pair.
 
 Nulls, ties, extremes: texts that are null or hold no words are no one's copies. Rows with a null
 doc_id are left out of the result and stay in the stage. Rows that share a doc_id are one document: what is a copy of
@@ -42,6 +42,8 @@ _BAND = np.concatenate([np.arange(M).reshape(-1, ROWS), np.arange(24 * ROWS).res
 THRESHOLD = 0.5
 #: Candidates estimated under THRESHOLD - SLACK are not verified: about 4 standard errors of the estimate.
 SLACK = 0.1
+#: Registers whose low bits go to the blocks, enough to leave out most pairs: 4 standard errors below the threshold.
+LOW, LOW_SLACK = 128, 0.18
 #: Members of a bucket in a block; ids that are broadcast at most (8 bytes each); pairs that a task lists at a time.
 BLOCK, FEW_IDS, PAIRS = 512, 1 << 20, 1 << 17
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
@@ -151,23 +153,23 @@ def _estimates(batches):
 
 
 def _low(batches):
-    """The low four bits of each register, two registers in a byte."""
+    """The low four bits of the first ``LOW`` registers, two registers in a byte."""
     for b in small(batches, 2048):
-        reg = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, M) & 15
+        reg = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, M)[:, :LOW] & 15
         yield pa.RecordBatch.from_arrays([b.column(0), _binary((reg[:, ::2] << 4 | reg[:, 1::2]).astype(np.uint8))], ["d", "low"])
 
 
 def _cross(threshold: float):
     """Rows ordered by (bucket, i, j): pairs of members in different components whose share of equal low
     bits leaves room for the threshold. In the block pair (i, j) the outer members of block i ask, all of block j answer."""
-    # registers that differ still share their low bits by a chance of 1/16
-    least = M * (threshold - SLACK - 0.02)
+    # registers that differ may share their low bits too, so this errs to the safe side
+    least = LOW * (threshold - LOW_SLACK)
 
     def solve(t: pa.Table, start: np.ndarray):
         col = lambda c: t.column(c).to_numpy()
         d, g, outer = col("d"), col("g"), col("outer")
         answers = col("jb") == col("j")
-        raw = np.frombuffer(b"".join(t.column("low").to_pylist()), np.uint8).reshape(-1, M // 2)
+        raw = np.frombuffer(b"".join(t.column("low").to_pylist()), np.uint8).reshape(-1, LOW // 2)
         low = np.concatenate([raw >> 4, raw & 15], 1)
         size = np.diff(np.append(start, len(d)))
         group = np.repeat(np.arange(len(start)), size)
@@ -240,10 +242,14 @@ class _Run:
         self.docs = text_batches(docs).where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("d"), "text")
         self.spark, self.scratch, self.threshold = docs.sparkSession, Scratch(docs.sparkSession), threshold
 
+    def few(self, df: DataFrame) -> DataFrame:
+        """A table of ids, marked for broadcast if it holds few."""
+        return F.broadcast(df) if df.count() <= FEW_IDS else df
+
     def of(self, rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
         """The rows whose id ``d`` is in a pair; few ids are broadcast, so that the other rows are not shuffled."""
         ids = self.scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct(), name)
-        return rows.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "d", "left_semi")
+        return rows.join(self.few(ids), "d", "left_semi")
 
     def close(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of distinct pairs (a, b), those whose estimate comes near the threshold and whose whole shingle sets reach it."""
@@ -285,7 +291,7 @@ class _Run:
         same = rows.groupBy("k1", "k2").agg(F.min("d").alias("g"), F.count("*").alias("n")).where("n > 1").drop("n")
         copies = keep(rows.select("d", "k1", "k2").join(same, ["k1", "k2"]), "copies")
         # an id stays in the comparison with those of its texts that no lesser id has
-        gone = copies.where("d != g").select("d", "k1", "k2")
+        gone = self.few(copies.where("d != g").select("d", "k1", "k2"))
         self.nodes = keep(rows.join(gone, ["d", "k1", "k2"], "left_anti").select("d", "reg", "size"), "nodes")
         drop("rows")
 
@@ -297,7 +303,7 @@ class _Run:
         pairs = self.close(star, "star")
         label = self.components(pairs, "star")
 
-        left = shared.join(label, "d", "left").select("bucket", "a", "d", F.coalesce("g", "d").alias("g"))
+        left = shared.join(self.few(label), "d", "left").select("bucket", "a", "d", F.coalesce("g", "d").alias("g"))
         left = keep(left, "left")
         drop("shared")
         hashes = [F.bit_xor(F.xxhash64("d", F.lit(k))).alias(f"x{k}") for k in (0, 1)]
