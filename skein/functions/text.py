@@ -48,11 +48,20 @@ def clean_title(c: Column, sites: tuple[str, ...] = ()) -> Column:
 PUBLISHERS = tuple(sorted("ABC News|AP|Al Jazeera|Axios|BBC World|BBC|Bloomberg|CBS News|CNBC|CNN|DW|Euronews|FT|Financial Times|Forbes|France24|Global Times|Guardian|Independent|Los Angeles Times|NBC News|NPR|Newsweek|Nikkei Asia|Politico|Reuters|SCMP|Sky News|South China Morning Post|TechCrunch|The Economist|The Guardian|The Hill|The Independent|The Japan Times|The Times of India|The Verge|The Wall Street Journal|The Washington Post|Time|USA Today|WSJ|Wired".split("|"), key=lambda x: (-len(x), x)))
 
 
+#: Letters whose capital would be several letters, and what SQL's upper has for them: a single capital where there is one, else the letter.
+SINGLE = {c: "ẞ" if c == "ß" else c.title() if len(c.title()) == 1 else c for c in map(chr, range(0x10000)) if len(c.upper()) > 1}
+
+
+def capital(c: Column) -> Column:
+    """One letter as one capital letter."""
+    return F.when(F.length(F.upper(c)) > 1, F.translate(c, "".join(SINGLE), "".join(SINGLE.values()))).otherwise(F.upper(c))
+
+
 def clean_headline(c: Column, publishers: tuple[str, ...] = PUBLISHERS) -> Column:
     """A title without its publisher at the end and a Live, Watch, Video, Update, Breaking or Flash at the start, its first letter a capital."""
     out = F.regexp_replace(collapse(unescape(c)), r"(?i)\s*[-–—|]\s*(?:" + "|".join(map(escape, publishers)) + ")$", "")
     out = collapse(F.regexp_replace(out, r"(?i)^(?:Breaking|Flash|Live|Update|Video|Watch)[:\s-]+\s*", ""))
-    return F.concat(F.upper(F.substring(out, 1, 1)), F.substr(out, F.lit(2)))
+    return F.concat(capital(F.substring(out, 1, 1)), F.substr(out, F.lit(2)))
 
 
 def clean_author(c: Column) -> Column:
