@@ -39,13 +39,17 @@ def publish_due(
 
     Fates: posted, dry_run, expired (too old, missing for long, or nothing to say), missing, gap, cap, retry,
     failed, rate_limited. Posting is bounded by the caps, so the loop is the driver's and reads due rows as
-    they come. A rate limit ends the batch, unless ``wait`` is given: then it is waited for, up to
+    they come; a dry run, which no row of it changes, is judged where the rows are. A rate limit ends the batch, unless ``wait`` is given: then it is waited for, up to
     ``WAIT_SECONDS`` at a time and ``WAIT_IN_ALL`` in a run. With ``dry_run`` nothing is sent, and what would be
     posted counts against no cap."""
     at = F.lit(now).cast("timestamp").cast("double") - F.col("posted_at").cast("double")
     # posts of the future and of the last hour and day count; the newest sets the gap
     have = posted.agg(F.count_if(at <= 3600).alias("hour"), F.count_if(at <= 86400).alias("day"), F.min(at).alias("since")).first()
     hour, day, since, waited, out = have["hour"], have["day"], have["since"], 0.0, []
+    if dry_run:
+        wait_more = since is not None and since < gap_seconds
+        held = ("gap", f"{int(gap_seconds - since)}") if wait_more else ("cap", "hour" if hour >= per_hour else "day") if hour >= per_hour or day >= per_day else None
+        return _dry_report(due_posts(scheduled, queue, now), held, fresh_hours)
     for r in due_posts(scheduled, queue, now).toLocalIterator():
         story, tries = r["story_id"], r["attempts"]
         say = lambda fate, detail="", n=tries, story=story: out.append((story, fate, n, detail))
@@ -59,8 +63,6 @@ def publish_due(
             say("cap", "hour" if hour >= per_hour else "day")
         elif not r["message"]:
             say("expired", "no usable content")
-        elif dry_run:
-            say("dry_run")
         else:
             while True:
                 try:
@@ -79,6 +81,15 @@ def publish_due(
     return _report(scheduled, out)
 
 
+def _dry_report(due: DataFrame, held: tuple[str, str] | None, fresh_hours: float) -> DataFrame:
+    """What becomes of each due row while nothing is sent; ``held`` is what keeps back all that could be."""
+    say = lambda fate, detail="": F.struct(F.lit(fate).alias("fate"), F.lit(detail).alias("detail"))
+    said = F.when(F.col("there").isNull(), F.when(F.col("late") > MISSING_SECONDS, say("expired", "missing for long")).otherwise(say("missing")))
+    said = said.when(F.col("age") > fresh_hours * 3600, say("expired", "no longer fresh"))
+    said = said.otherwise(say(*held)) if held else said.when(F.coalesce("message", F.lit("")) == "", say("expired", "no usable content")).otherwise(say("dry_run"))
+    return due.select("story_id", said.alias("said"), "attempts").select("story_id", "said.fate", "attempts", "said.detail")
+
+
 def _report(scheduled: DataFrame, rows: list[tuple]) -> DataFrame:
     return scheduled.sparkSession.createDataFrame(rows, REPORT)
 

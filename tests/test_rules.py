@@ -325,6 +325,19 @@ def test_caps_gaps_and_rate_limits(spark):
     assert fates(PUB.simulate(t[1], t[2], NOW, per_hour=1)) == ["cap"] * 3
 
 
+def test_a_dry_run_sends_no_row_to_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    old, new = NOW - dt.timedelta(hours=9), NOW - dt.timedelta(hours=1)
+    queue = spark.createDataFrame([("a", new, "x"), ("b", old, "x"), ("c", new, ""), ("d", new, None), ("e", None, "x"), (None, new, "x")], "story_id string, effective_at timestamp, message string")
+    posted = spark.createDataFrame([(NOW - dt.timedelta(seconds=40),)], "posted_at timestamp")
+    monkeypatch.setattr(Classic, "toLocalIterator", lambda *_: pytest.fail("rows on the driver"))
+    got = lambda **rules: [(r["story_id"], r["fate"], r["detail"]) for r in PUB.simulate(queue, posted, NOW, **rules).collect()]
+    late = ("b", "expired", "no longer fresh")
+    assert got() == [(None, "missing", ""), ("a", "dry_run", ""), late, ("c", "expired", "no usable content"), ("d", "expired", "no usable content"), ("e", "dry_run", "")]
+    assert got(gap_seconds=60) == [(None, "missing", ""), ("a", "gap", "20"), late, ("c", "gap", "20"), ("d", "gap", "20"), ("e", "gap", "20")]
+
+
 def test_rate_limits_by_brute_force(spark):
     import random
 
@@ -440,3 +453,31 @@ def test_headlines_and_urls(spark):
 
 def test_mass_casualties():
     assert S.has_mass_casualty("Two people were killed in the crash.") and S.has_mass_casualty("At least 12 injured") and not S.has_mass_casualty("No one was hurt. One person died.")
+
+
+def test_texts_go_to_python_in_small_batches(spark, sf):
+    from skein import queries as Q
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for query in (Q.editorial_decision, Q.relevance_score, Q.article_sentences, Q.sentence_split):
+            spark.conf.set(key, "10000")
+            query(spark, sf)
+            assert spark.conf.get(key) == "1024"
+        spark.conf.set(key, "77")
+        Q.sentence_split(spark, sf)
+        assert spark.conf.get(key) == "77"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_only_the_sentences_needed_are_cut(monkeypatch):
+    text = "Dr. A. B. Smith of St. Mary said that harbour work begins. " + " ".join(f"Report {k} covers district number {k} and its {w} river." for k, w in enumerate("old new wide long deep cold warm calm".split() * 9))
+    assert S.split(text)[0].startswith("Dr. A. B. Smith") and len(S.split(text)) == 73
+    cuts, plain = [], S.each
+    monkeypatch.setattr(S, "each", lambda t: (cuts.append(1) or s for s in plain(t)))
+    assert R.explanatory(S.each(text), "x") == R.explanatory(S.split(text), "x")
+    cuts.clear()
+    R.explanatory(S.each(text), "x")
+    assert len(cuts) < 20
