@@ -16,6 +16,7 @@ from ..functions import html_pages as H
 from ..functions import rows as R
 from ..functions import text as T
 from ..schema import REGISTRY
+from ..session import text_batches
 
 Fetcher = Callable[[str, dict], bytes]
 ITEM = t.StructType([t.StructField(k, t.StringType()) for k in ("title", "url", "summary", "published", "updated", "author")] + [t.StructField("category_hints", t.ArrayType(t.StringType())), t.StructField("raw", t.StringType())])
@@ -125,7 +126,7 @@ def page_links(pages: DataFrame) -> DataFrame:
             rows = [(p, k, i["url"], i["title"]) for p, u, h in zip(pdf["page_id"], pdf["url"], pdf["html"]) for k, i in enumerate(H.links(h, u))]
             yield pd.DataFrame(rows, columns=["page_id", "position", "link", "title"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, position int, link string, title string")
+    return text_batches(pages).select("page_id", "url", "html").mapInPandas(run, "page_id long, position int, link string, title string")
 
 
 def page_media(pages: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def page_media(pages: DataFrame) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"page_id": pdf["page_id"], "media": [H.select_media(H.media(h, u)) for u, h in zip(pdf["url"], pdf["html"])]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id long, media {kind}")
+    return text_batches(pages).select("page_id", "url", "html").mapInPandas(run, f"page_id long, media {kind}")
 
 
 def page_articles(pages: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def page_articles(pages: DataFrame) -> DataFrame:
             got = [H.article_text(h) for h in pdf["html"]]
             yield pd.DataFrame({"page_id": pdf["page_id"], "status": [s for s, _ in got], "text": [x for _, x in got]})
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, status string, text string")
+    return text_batches(pages).select("page_id", "html").mapInPandas(run, "page_id long, status string, text string")
 
 
 def article_sentences(found: DataFrame) -> DataFrame:
@@ -158,7 +159,7 @@ def article_sentences(found: DataFrame) -> DataFrame:
             rows = [(p, k, x) for p, t in zip(pdf["page_id"], pdf["text"]) for k, x in enumerate(R.article_sentences(t, ""))]
             yield pd.DataFrame(rows, columns=["page_id", "place", "sentence"])
 
-    return found.select("page_id", "text").mapInPandas(run, "page_id long, place int, sentence string")
+    return text_batches(found).select("page_id", "text").mapInPandas(run, "page_id long, place int, sentence string")
 
 
 def json_items(df: DataFrame, column: str = "body") -> DataFrame:
